@@ -67,6 +67,13 @@ ZONES = {
     "southwest": Box(0.0, -90.0, -180.0, 10.0),
 }
 
+# Bronze columns the tables can fill; the others are NULL in the feed
+FILLED = (
+    "extraction_timestamp", "batch_id", "source_zone", "flight_id", "callsign", "airline_icao",
+    "aircraft_code", "origin_iata", "destination_iata", "latitude", "longitude", "altitude",
+    "ground_speed", "on_ground",
+)
+
 # order of observations with equal timestamps, all descending
 TIE_BREAK = ("obs_line", "obs_part", "obs_supplier")
 

@@ -40,6 +40,7 @@ def read_airports_csv(spark: SparkSession, path: str) -> DataFrame:
         spark.read.schema(AIRPORTS_CSV)
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("escape", '"')
+        .option("columnPruning", False)  # a pruned parser does not notice short lines
         .csv(path)
     )
     complete = F.col(CORRUPT).isNull() | (_field_count(F.col(CORRUPT)) >= MIN_AIRPORT_FIELDS)
