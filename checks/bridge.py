@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skytally.functions import continent_code, country_code_of_name
+from skytally.operators.pick import latest_per_flight
 from skytally.operators.quality import flag_quality
 from skytally.operators.zones import Box
 from skytally.schema import FLIGHTS_RAW
@@ -122,13 +123,22 @@ def _feed_columns() -> dict[str, tuple[str, Column]]:
     }
 
 
-def feed(spark: SparkSession, sf_dir: str, columns: Iterable[str] | None = None) -> DataFrame:
-    """Observations with the requested columns; by default all of Bronze and the tie-breakers."""
+def feed(
+    spark: SparkSession, sf_dir: str, columns: Iterable[str] | None = None, latest: bool = False,
+) -> DataFrame:
+    """Observations with the requested columns; by default all of Bronze and the tie-breakers.
+
+    ``latest`` keeps the last observation of each flight, before any attribute is joined: the
+    joins then see a fraction of the rows, and the one with the orders is already co-located.
+    """
     known = _feed_columns()
     types = {f.name: f.dataType for f in FLIGHTS_RAW}
     wanted = list(columns or [*types, *TIE_BREAK])
     joins = {j for c in wanted if c in known for j in known[c][0].split()}
     rows = table(spark, sf_dir, "lineitem")
+    if latest:
+        rows = latest_per_flight(
+            rows, "l_orderkey", "l_shipdate", ("l_linenumber", "l_partkey", "l_suppkey"))
     if "orders" in joins:
         # customers join the orders first: an order has several observations
         routes = table(spark, sf_dir, "orders").join(
@@ -241,7 +251,7 @@ def airport_csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     ]
     head = F.concat_ws(",", *fields)
     lat = F.when(key % 29 == 0, r"\N").otherwise((F.col("c_acctbal") / 125).cast("string"))
-    lon = (F.col("c_acctbal") / 64).cast("string")
+    lon = (F.col("c_acctbal") / 62.5).cast("string")
     return table(spark, sf_dir, "customer").select(
         F.when(key % 31 == 0, F.concat_ws(",", head, lat))
         .when(key % 37 == 0, F.concat_ws(",", head, lat, lon))
@@ -260,7 +270,7 @@ def airport_record_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         airport_field(F.col("s_nationkey"), 1).alias("country"),
         F.when(key % 13 == 0, "").otherwise((F.col("s_acctbal") / 125).cast("string"))
         .alias("latitude"),
-        (F.col("s_acctbal") / 64).alias("longitude"),
+        (F.col("s_acctbal") / 62.5).alias("longitude"),
     )
     return table(spark, sf_dir, "supplier").select(F.to_json(record).alias("value"))
 

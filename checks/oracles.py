@@ -221,7 +221,7 @@ csv AS (
     CASE WHEN c_custkey % 7 <> 0 THEN 'K' || c_custkey END AS airport_icao,
     'Field "' || c_custkey || '", main' AS airport_name, country AS country_name,
     CASE WHEN c_custkey % 29 <> 0 OR (c_custkey % 31 = 0) THEN c_acctbal / 125 END AS latitude,
-    c_acctbal / 64 AS longitude, cc, continent
+    c_acctbal / 62.5e0 AS longitude, cc, continent
   FROM lettered WHERE c_custkey % 19 <> 0 AND c_custkey % 23 <> 0 AND c_custkey % 31 <> 0)"""
 
 RECORDS = SMALL + """,
@@ -229,7 +229,7 @@ records AS (
   SELECT 'S' || s_suppkey AS airport_iata, 'K' || s_suppkey AS airport_icao,
     s_name AS airport_name, country AS country_name,
     CASE WHEN s_suppkey % 13 <> 0 THEN s_acctbal / 125 END AS latitude,
-    s_acctbal / 64 AS longitude
+    s_acctbal / 62.5e0 AS longitude
   FROM supplier JOIN airports ON nk = s_nationkey WHERE s_suppkey % 7 <> 0 AND s_suppkey % 11 <> 0)"""
 
 FLEET = """

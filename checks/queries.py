@@ -17,13 +17,15 @@ from skytally.functions import (
 from skytally.layout import Lake
 from skytally.operators import dimensions as dims
 from skytally.operators import kpis, profile, quality, zones
-from skytally.operators.enrich import fill_from_dimensions
+from skytally.operators.enrich import derive_columns, fill_from_dimensions
 from skytally.operators.pick import latest_per_flight
+from skytally.operators.quality import flag_quality
 from skytally.plans import runs as run_plans
 from skytally.plans.batch import replay
 from skytally.plans.gold import gold_tables
 from skytally.plans.silver import silver_fact
-from skytally.schema import LABEL_COLUMNS, ZONES as ZONES_TYPE
+from skytally.schema import FLIGHTS_RAW, LABEL_COLUMNS
+from skytally.schema import ZONES as ZONES_TYPE
 from skytally.session import apply_settings, scratch_path
 from skytally.sinks import reports
 from skytally.sinks.lake import label_hours, write_bronze, write_dimension, write_fact, write_gold
@@ -61,10 +63,26 @@ def query(fn: Query) -> Query:
     return run
 
 
+# what the Silver fact is made of, as far as KPIs and dimensions need it
+SILVER_INPUT = tuple(
+    c for c in (*FLIGHTS_RAW.names, *TIE_BREAK) if c != "source_zone"
+)
+
+
 def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver_fact(
-        bridge.bronze(spark, sf_dir), bridge.airports_dim(spark), bridge.airlines_dim(spark), TIE_BREAK,
-    )
+    """The Silver fact straight from the tables.
+
+    Same rows as ``silver_fact`` over Bronze: flags and look-ups are row-wise, so they can
+    follow the de-duplication.
+    """
+    latest = flag_quality(bridge.feed(spark, sf_dir, SILVER_INPUT, latest=True))
+    filled = fill_from_dimensions(latest, bridge.airports_dim(spark), bridge.airlines_dim(spark))
+    return derive_columns(filled)
+
+
+def labelled_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return label_hours(
+        silver(spark, sf_dir), F.date_trunc("month", F.col("extraction_timestamp")))
 
 
 def stored(df: DataFrame, purpose: str) -> DataFrame:
@@ -400,7 +418,10 @@ def enrich_noop(spark, sf_dir):
 
 @query
 def silver_fact_(spark, sf_dir):
-    return silver(spark, sf_dir).select(
+    facts = silver_fact(
+        bridge.bronze(spark, sf_dir, SILVER_INPUT), bridge.airports_dim(spark),
+        bridge.airlines_dim(spark), TIE_BREAK)
+    return facts.select(
         *KEY, "extraction_timestamp", "batch_id", "airline_icao", "airline_name", "aircraft_code",
         "manufacturer", "origin_iata", "destination_iata", "origin_continent",
         "destination_continent", "origin_airport_country_code", "distance_km", "is_valid",
@@ -568,7 +589,7 @@ def silver_overwrite(spark, sf_dir):
     """Rewriting some hours of the fact leaves all others as they were."""
     lake = new_lake(spark)
     columns = ("flight_id", "batch_id", "airline_icao", *LABEL_COLUMNS)
-    facts = silver(spark, sf_dir).select(*columns)
+    facts = labelled_silver(spark, sf_dir).select(*columns)
     write_fact(facts, lake, many_hours=True)
     reworked = facts.where(F.col("tech_year") >= "1999").withColumn("airline_icao", F.lit("REDONE"))
     write_fact(reworked, lake, many_hours=True)

@@ -18,18 +18,21 @@ _AIRPORT_FILL = {
 
 def _fill_left(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
                fill: dict[str, str]) -> DataFrame:
-    """Left join on a unique dimension key, filling fact columns only where they are NULL.
+    """Left join on the dimension key, filling fact columns only where they are NULL.
+
+    Grouping the dimension by its key makes it unique by construction: a duplicate key cannot
+    multiply facts. It also lets Catalyst drop the join altogether when a query uses none of
+    the filled columns.
 
     No broadcast hint: dimensions are read from snapshots (or inline tables), whose size
     Catalyst knows, so it broadcasts them below ``autoBroadcastJoinThreshold`` and otherwise
     falls back to a sort-merge join that AQE can split on skewed keys.
     """
-    lookup = dim.select(
-        F.col(dim_key).alias("_key"), *(F.col(src).alias(f"_{dst}") for dst, src in fill.items())
-    )
+    attributes = F.struct(*(F.col(src).alias(dst) for dst, src in fill.items()))
+    lookup = dim.groupBy(F.col(dim_key).alias("_key")).agg(F.max(attributes).alias("_fill"))
     joined = facts.join(lookup, F.col(fact_key) == F.col("_key"), "left")
     return joined.select(*(
-        F.coalesce(F.col(c), F.col(f"_{c}")).alias(c) if c in fill else F.col(c)
+        F.coalesce(F.col(c), F.col(f"_fill.{c}")).alias(c) if c in fill else F.col(c)
         for c in facts.columns
     ))
 
@@ -39,9 +42,8 @@ def fill_from_dimensions(
 ) -> DataFrame:
     """Fill country, coordinates and airline name from the dimensions; no dimension, no change.
 
-    Each dimension must hold one row per key (the loaders guarantee it). Only NULL is filled:
-    an empty string counts as a value. Fact keys are expected normalised, dimension keys are
-    used as they are.
+    Only NULL is filled: an empty string counts as a value. Fact keys are expected normalised,
+    dimension keys are used as they are.
     """
     if airports is not None:
         for end in ("origin", "destination"):

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -50,15 +53,15 @@ def flag_quality(flights: DataFrame) -> DataFrame:
     ``data_quality_flags`` is a comma-joined list, NULL when nothing is wrong. ``is_valid``
     means airborne and unflagged, which implies known route and airline; never NULL.
     """
-    raised = [F.when(condition, flag) for flag, condition in quality_rules().items()]
-    return (
-        normalize_codes(flights)
-        .withColumn("data_quality_flags", F.nullif(F.concat_ws(",", *raised), F.lit("")))
-        .withColumn(
-            "is_valid",
-            F.col("data_quality_flags").isNull() & F.coalesce(F.col("on_ground") == 0, F.lit(False)),
-        )
-    )
+    rules = quality_rules()
+    flags = F.concat_ws(",", *(F.when(condition, flag) for flag, condition in rules.items()))
+    airborne = F.coalesce(F.col("on_ground") == 0, F.lit(False))
+    # stated from the conditions, not from the flag text: a query that only filters on
+    # validity then never builds the text
+    return normalize_codes(flights).withColumns({
+        "data_quality_flags": F.nullif(flags, F.lit("")),
+        "is_valid": airborne & ~reduce(or_, rules.values()),
+    })
 
 
 def profile_measures() -> dict[str, Column]:
