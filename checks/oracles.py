@@ -174,6 +174,13 @@ SELECT CASE WHEN l_partkey % 89 = 0 THEN 'malformed' ELSE 'no_key' END AS reason
   count(*) AS records
 FROM lineitem WHERE l_partkey % 83 = 0 OR l_partkey % 89 = 0 GROUP BY 1""")
 
+oracle("collect_zones", FEED, f"""
+SELECT flight_id, callsign, zone AS source_zone, {km_list('latitude', 'longitude', 'altitude')},
+  on_ground::BIGINT AS on_ground FROM feed
+JOIN zones ON latitude BETWEEN y2 AND y1 AND longitude BETWEEN x1 AND x2 AND zone <> 'tropics'
+QUALIFY row_number() OVER (PARTITION BY flight_id ORDER BY zone, feed.latitude,
+  feed.longitude, feed.altitude, on_ground NULLS LAST) = 1""")
+
 oracle("ingest_empty", FEED, """
 SELECT flight_id, zone AS source_zone, altitude, on_ground::BIGINT AS on_ground
 FROM feed JOIN zones ON zone = 'nowhere'

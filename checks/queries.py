@@ -25,7 +25,6 @@ from skytally.plans.batch import replay
 from skytally.plans.gold import gold_tables
 from skytally.plans.silver import silver_fact
 from skytally.schema import FLIGHTS_RAW, LABEL_COLUMNS
-from skytally.schema import ZONES as ZONES_TYPE
 from skytally.session import apply_settings, scratch_path
 from skytally.sinks import reports
 from skytally.sinks.lake import label_hours, write_bronze, write_dimension, write_fact, write_gold
@@ -63,6 +62,10 @@ def query(fn: Query) -> Query:
     return run
 
 
+# what flagging needs, and the batch
+FLAG_INPUT = ("batch_id", *quality.CODE_COLUMNS, "latitude", "longitude", "altitude",
+              "ground_speed", "on_ground")
+
 # what the Silver fact is made of, as far as KPIs and dimensions need it
 SILVER_INPUT = tuple(
     c for c in (*FLIGHTS_RAW.names, *TIE_BREAK) if c != "source_zone"
@@ -118,6 +121,22 @@ def ingest_rejects(spark, sf_dir):
     return feeds.rejected(landed).groupBy(reason.alias("reason")).agg(F.count("*").alias("records"))
 
 
+@query
+def collect_zones(spark, sf_dir):
+    """Feeds landed per zone; zones overlap, one wanted zone has not landed anything."""
+    rows = bridge.feed(spark, sf_dir, (
+        "flight_id", "callsign", "latitude", "longitude", "altitude", "on_ground", "source_zone"))
+    landing = zones.union_zones(rows, ZONES, list(ZONES)).select(
+        F.to_json(F.struct(F.col("flight_id").alias("id"), "callsign", "latitude", "longitude",
+                           "altitude", "on_ground")).alias("value"),
+        F.col("source_zone").alias("zone"))
+    path = scratch_path(spark, "zone-feeds")
+    landing.write.partitionBy("zone").text(path)
+    wanted = ["north", "southwest", "nowhere"]
+    return feeds.collect_zones(spark, path, wanted, RUN_TS, "B1").select(
+        "flight_id", "callsign", "source_zone", "latitude", "longitude", "altitude", "on_ground")
+
+
 @query
 def ingest_empty(spark, sf_dir):
     collected = zones.union_zones(bridge.feed(spark, sf_dir), ZONES, ["nowhere"])
@@ -188,9 +207,10 @@ def subzones(spark, sf_dir):
     )
     entries = F.transform("m", lambda x: F.struct(x["n_name"].alias("key"), x["box"].alias("value")))
     info = F.struct(F.lit(90.0).alias("tl_y"), F.map_from_entries(entries).alias("subzones"))
-    lines = members.select(F.to_json(F.create_map("r_name", info)).alias("value"))
-    landed = spark.read.text(bridge.land(lines, "zones"))
-    return zones.subzones(landed.select(F.from_json("value", ZONES_TYPE).alias("zones")))
+    documents = members.select(F.to_json(F.create_map("r_name", info)).alias("value"), "r_name")
+    path = scratch_path(spark, "zones")
+    documents.write.partitionBy("r_name").text(path)
+    return zones.subzones(refs.read_zones(spark, path))
 
 
 # --- reference files ---------------------------------------------------------------------
@@ -345,33 +365,34 @@ QUERIES["partition_labels"] = QUERIES.pop("partition_labels_")
 
 @query
 def quality_flags(spark, sf_dir):
-    return bridge.flagged(spark, sf_dir).select(*KEY, "data_quality_flags")
+    return bridge.flagged(spark, sf_dir, (*FLAG_INPUT, *KEY)).select(*KEY, "data_quality_flags")
 
 
 @query
 def is_valid(spark, sf_dir):
-    return bridge.flagged(spark, sf_dir).select(*KEY, "is_valid")
+    return bridge.flagged(spark, sf_dir, (*FLAG_INPUT, *KEY)).select(*KEY, "is_valid")
 
 
 @query
 def quality_profile(spark, sf_dir):
-    return quality.quality_profile(bridge.flagged(spark, sf_dir))
+    return quality.quality_profile(bridge.flagged(spark, sf_dir, FLAG_INPUT))
 
 
 @query
 def flag_counts(spark, sf_dir):
-    return quality.flag_counts(bridge.flagged(spark, sf_dir))
+    return quality.flag_counts(bridge.flagged(spark, sf_dir, FLAG_INPUT))
 
 
 @query
 def quality_report(spark, sf_dir):
-    report = reports.quality_report(bridge.flagged(spark, sf_dir))
+    report = reports.quality_report(stored_flags(spark, sf_dir))
     return report.select("total_rows", "valid_rows", F.inline("top_flags"))
 
 
 @query
 def dimension_cardinality(spark, sf_dir):
-    return profile.dimension_cardinality(bridge.flagged(spark, sf_dir))
+    return profile.dimension_cardinality(quality.normalize_codes(
+        bridge.feed(spark, sf_dir, quality.CODE_COLUMNS)))
 
 
 @query
@@ -399,7 +420,7 @@ def dedup_latest(spark, sf_dir):
 def enrich_dims(spark, sf_dir):
     """Some facts already carry a country code (possibly empty), which must survive."""
     part = F.col("obs_part")
-    facts = bridge.flagged(spark, sf_dir).withColumn(
+    facts = bridge.flagged(spark, sf_dir, SILVER_INPUT).withColumn(
         "origin_airport_country_code",
         F.when(part % 11 == 0, "ZZ").when(part % 13 == 0, ""))
     return fill_from_dimensions(
@@ -412,7 +433,7 @@ def enrich_dims(spark, sf_dir):
 
 @query
 def enrich_noop(spark, sf_dir):
-    return fill_from_dimensions(bridge.flagged(spark, sf_dir)).select(
+    return fill_from_dimensions(bridge.flagged(spark, sf_dir, SILVER_INPUT)).select(
         *KEY, "airline_icao", "airline_name", "origin_airport_country_name")
 
 
@@ -618,13 +639,19 @@ def gold_idempotent(spark, sf_dir):
 
 # --- runs --------------------------------------------------------------------------------
 
+def stored_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What reports need of the flagged observations, written once for their several passes."""
+    return stored(bridge.flagged(spark, sf_dir, FLAG_INPUT).select(
+        "batch_id", *quality.CODE_COLUMNS, "on_ground", "is_valid", "data_quality_flags"), "flags")
+
+
 def run_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What each monthly run reports about itself.
 
     A run takes 1/28 s per unit of its mean price, and every observation sold at quantity 1
     with the highest discount and tax counts as an error of its run.
     """
-    rows = bridge.flagged(spark, sf_dir)
+    rows = stored_flags(spark, sf_dir)
     counts = quality.quality_profile(rows, "batch_id")
     distinct = profile.dimension_cardinality(rows, "batch_id")
     source = bridge.table(spark, sf_dir, "lineitem")

@@ -31,7 +31,8 @@ def _both_ends(facts: DataFrame, columns: dict[str, str]) -> DataFrame:
 
 def _dimension(rows: DataFrame, key: str, attributes: tuple[str, ...], run_ts: datetime) -> DataFrame:
     known = rows.where(~is_blank(F.col(key)))
-    return most_complete_per_key(known, key, attributes).withColumn("last_updated", instant(run_ts))
+    picked = most_complete_per_key(known, key, attributes, repetitive=True)
+    return picked.withColumn("last_updated", instant(run_ts))
 
 
 def airports_of_facts(facts: DataFrame, run_ts: datetime) -> DataFrame:

@@ -16,20 +16,31 @@ _AIRPORT_FILL = {
 }
 
 
+# a dimension planned larger than this is not broadcast
+BROADCAST_LIMIT_BYTES = 32 * 1024 * 1024
+
+
+def planned_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate; exact for files and inline tables, huge where unknown."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def _fill_left(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
-               fill: dict[str, str]) -> DataFrame:
+               fill: dict[str, str], broadcast_limit: int) -> DataFrame:
     """Left join on the dimension key, filling fact columns only where they are NULL.
 
     Grouping the dimension by its key makes it unique by construction: a duplicate key cannot
     multiply facts. It also lets Catalyst drop the join altogether when a query uses none of
     the filled columns.
-
-    No broadcast hint: dimensions are read from snapshots (or inline tables), whose size
-    Catalyst knows, so it broadcasts them below ``autoBroadcastJoinThreshold`` and otherwise
-    falls back to a sort-merge join that AQE can split on skewed keys.
     """
     attributes = F.struct(*(F.col(src).alias(dst) for dst, src in fill.items()))
     lookup = dim.groupBy(F.col(dim_key).alias("_key")).agg(F.max(attributes).alias("_fill"))
+    if planned_bytes(dim) <= broadcast_limit:
+        lookup = F.broadcast(lookup)
+    else:
+        # Shuffled join. Its hot keys are split by AQE, which wants the exchange right below
+        # the join; a derived key keeps the join from reusing the one of the grouping.
+        lookup = lookup.withColumn("_key", F.concat(F.lit(""), F.col("_key")))
     joined = facts.join(lookup, F.col(fact_key) == F.col("_key"), "left")
     return joined.select(*(
         F.coalesce(F.col(c), F.col(f"_fill.{c}")).alias(c) if c in fill else F.col(c)
@@ -39,6 +50,7 @@ def _fill_left(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
 
 def fill_from_dimensions(
     facts: DataFrame, airports: DataFrame | None = None, airlines: DataFrame | None = None,
+    broadcast_limit: int = BROADCAST_LIMIT_BYTES,
 ) -> DataFrame:
     """Fill country, coordinates and airline name from the dimensions; no dimension, no change.
 
@@ -48,10 +60,11 @@ def fill_from_dimensions(
     if airports is not None:
         for end in ("origin", "destination"):
             fill = {f"{end}_airport_{dst}": src for dst, src in _AIRPORT_FILL.items()}
-            facts = _fill_left(facts, airports, f"{end}_iata", "airport_iata", fill)
+            facts = _fill_left(facts, airports, f"{end}_iata", "airport_iata", fill,
+                               broadcast_limit)
     if airlines is not None:
         facts = _fill_left(facts, airlines, "airline_icao", "airline_icao",
-                           {"airline_name": "airline_name"})
+                           {"airline_name": "airline_name"}, broadcast_limit)
     return facts
 
 

@@ -37,12 +37,16 @@ def latest_per_flight(
     return first_per_key(flights, [key], [F.desc(at), *(F.desc(c) for c in tie_break)])
 
 
-def most_complete_per_key(df: DataFrame, key: str, attributes: Sequence[str]) -> DataFrame:
+def most_complete_per_key(
+    df: DataFrame, key: str, attributes: Sequence[str], repetitive: bool = False,
+) -> DataFrame:
     """One row per key: the one with most known attributes, then the smallest values.
 
-    ``distinct`` first: its map-side hash aggregation reduces a fact-sized input to the few
-    distinct attribute combinations before anything is shuffled or sorted.
+    For a ``repetitive`` input (facts, which repeat few attribute combinations) ``distinct``
+    goes first: its map-side hash aggregation leaves little to sort. For an input of mostly
+    different rows that would only add a shuffle of everything.
     """
     known = sum((F.col(a).isNotNull().cast("int") for a in attributes), F.lit(0))
     order = [F.desc(known), *(F.asc_nulls_last(a) for a in attributes)]
-    return first_per_key(df.select(key, *attributes).distinct(), [key], order)
+    rows = df.select(key, *attributes)
+    return first_per_key(rows.distinct() if repetitive else rows, [key], order)

@@ -26,6 +26,11 @@ class Box(NamedTuple):
         """Read the ``"y1,y2,x1,x2"`` spelling."""
         return cls(*(float(part) for part in bounds.split(",")))
 
+    @classmethod
+    def of_zone(cls, zone: Mapping[str, float]) -> Box:
+        """The box of a zone document: its top-left and bottom-right corners."""
+        return cls(zone["tl_y"], zone["br_y"], zone["tl_x"], zone["br_x"])
+
     def holds(self) -> Column:
         return (
             F.col("latitude").between(self.y2, self.y1)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skytally.functions import instant, to_double, to_int
-from skytally.operators.zones import GLOBAL_ZONE
+from skytally.operators.zones import GLOBAL_ZONE, dedup_zones
 from skytally.schema import CORRUPT, FEED_RENAMES, FLIGHT_FEED, FLIGHTS_RAW, STAMPED
 
 _FEED_OF = {bronze: feed for feed, bronze in FEED_RENAMES.items()}
@@ -26,6 +27,26 @@ def read_feed(spark: SparkSession, path: str, multi_line: bool = False) -> DataF
     )
 
 
+def read_zone_feeds(
+    spark: SparkSession, root: str, wanted: Iterable[str] | None = None,
+) -> DataFrame:
+    """Feeds landed per zone under ``zone=<name>`` directories, with a ``zone`` column.
+
+    All wanted zones come out of one scan pruned to their directories. A zone without a
+    directory, or with an empty one, has no rows; that is not an error.
+    """
+    landed = read_feed(spark, root)
+    return landed if wanted is None else landed.where(F.col("zone").isin(list(wanted)))
+
+
+def collect_zones(
+    spark: SparkSession, root: str, wanted: Iterable[str] | None, run_ts: datetime, batch_id: str,
+) -> DataFrame:
+    """One batch: the observations of all wanted zones, one row per flight."""
+    landed = read_zone_feeds(spark, root, wanted)
+    return dedup_zones(to_observations(landed, run_ts, batch_id, F.col("zone")))
+
+
 def _usable() -> Column:
     return F.col(CORRUPT).isNull() & F.col("id").isNotNull()
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from skytally.functions import continent_code, country_code_of_name, instant, is_blank, to_double
 from skytally.functions.reference import CODE_OF_NAME_KEY, name_key
 from skytally.operators.pick import most_complete_per_key
-from skytally.schema import AIRLINE_RECORDS, AIRPORT_RECORDS, AIRPORTS_CSV, CORRUPT
+from skytally.schema import AIRLINE_RECORDS, AIRPORT_RECORDS, AIRPORTS_CSV, CORRUPT, ZONES
 from skytally.sinks.lake import write_dimension
 
 MAX_AGE_DAYS = 7
@@ -101,6 +101,12 @@ def airlines_dimension(records: DataFrame, run_ts: datetime) -> DataFrame:
         .withColumn("last_updated", instant(run_ts))
 
 
+def read_zones(spark: SparkSession, path: str) -> DataFrame:
+    """Zone documents (one JSON object per file) as a ``zones`` map column."""
+    documents = spark.read.text(path, wholetext=True)
+    return documents.select(F.from_json("value", ZONES).alias("zones"))
+
+
 def filter_countries(airports: DataFrame, spec: str, country: str = "country_name") -> DataFrame:
     """Airports of the listed countries.
 

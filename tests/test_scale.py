@@ -108,15 +108,16 @@ def test_dimension_joins_broadcast_by_size_and_fall_back(spark, observations):
     dims = spark.sql("SELECT * FROM VALUES ('AFR', 'Air France') AS t(airline_icao, airline_name)")
     facts = observations({"airline_icao": "AFR"}, {"airline_icao": None})
 
-    def filled():
-        return fill_from_dimensions(facts, airlines=dims).select("airline_icao", "airline_name")
+    def filled(limit):
+        return fill_from_dimensions(facts, airlines=dims, broadcast_limit=limit).select(
+            "airline_icao", "airline_name")
 
-    assert "BroadcastHashJoin" in plan_of(filled())
+    assert "BroadcastHashJoin" in plan_of(filled(1000))
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     try:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
-        assert "SortMergeJoin" in plan_of(filled())
-        assert sorted(map(tuple, filled().collect()), key=str) == [
+        assert "SortMergeJoin" in plan_of(filled(10))
+        assert sorted(map(tuple, filled(10).collect()), key=str) == [
             ("AFR", "Air France"), (None, None)]
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
@@ -151,3 +152,31 @@ def test_kpi_joins_follow_the_deduplication(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert plan.count("Exchange hashpartitioning(l_orderkey") == 1
+
+
+def test_large_dimensions_join_shuffled_with_hot_keys_split(spark):
+    """Beyond the broadcast limit a key holding most facts is spread over several tasks."""
+    dims = spark.range(2000).select(
+        F.concat(F.lit("A"), "id").alias("airline_icao"), F.concat(F.lit("N"), "id").alias("airline_name"))
+    facts = spark.range(0, 300_000, 1, 8).select(
+        "id", F.when(F.col("id") % 3 > 0, "A7").otherwise(F.concat(F.lit("A"), F.col("id") % 2500))
+        .alias("airline_icao"),
+        F.lit(None).cast("string").alias("airline_name"), F.sha2(F.col("id").cast("string"), 256).alias("pad"))
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "16",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200kb",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "200kb",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        filled = fill_from_dimensions(facts, airlines=dims, broadcast_limit=0)
+        counts = filled.groupBy((F.col("airline_name") == "N7").alias("hot")).agg(
+            F.count("*").alias("count"), F.max("pad"))
+        assert {r.hot: r["count"] for r in counts.collect()} == {True: 200_040, False: 79_960, None: 20_000}
+        assert "SortMergeJoin(skew=true)" in plan_of(counts)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

@@ -86,7 +86,8 @@ def test_no_dimension_no_change(observations):
 
 
 def test_unused_lookups_leave_the_plan(observations, airports, airlines):
-    filled = fill_from_dimensions(observations(), airports, airlines).select("flight_id")
+    filled = fill_from_dimensions(
+        observations(), airports, airlines, broadcast_limit=2**63).select("flight_id")
     assert "Join" not in filled._jdf.queryExecution().optimizedPlan().toString()
 
 

@@ -72,6 +72,34 @@ def test_zone_union_and_dedup(observations):
     assert union_zones(feed, BOXES, ["global"]).count() == 3
 
 
+def test_zone_feeds(spark, tmp_path, run_ts):
+    for zone, ids in {"europe": ["A", "B"], "north": ["B", "C"], "asia": ["D"]}.items():
+        folder = tmp_path / f"zone={zone}"
+        folder.mkdir()
+        lines = [json.dumps({"id": i, "callsign": zone}) for i in ids]
+        (folder / "feed.json").write_text("\n".join([*lines, "{broken"]))
+    (tmp_path / "zone=empty").mkdir()
+
+    def collected(wanted):
+        df = feeds.collect_zones(spark, str(tmp_path), wanted, run_ts, "b")
+        assert df.columns == FLIGHTS_RAW.names
+        return sorted((r.flight_id, r.source_zone) for r in df.collect())
+
+    assert collected(["europe", "north", "empty", "nowhere"]) == [
+        ("A", "europe"), ("B", "europe"), ("C", "north")]
+    assert collected(["nowhere"]) == []
+    assert len(collected(None)) == 4
+
+
+def test_zone_documents(spark, tmp_path):
+    corners = {"tl_y": 72.0, "tl_x": -16.0, "br_y": 33.0, "br_x": 53.0}
+    assert Box.of_zone(corners) == Box.parse("72,33,-16,53")
+    (tmp_path / "zones.json").write_text(json.dumps(
+        {"europe": {**corners, "subzones": {"uk": corners}}}, indent=2))
+    assert [tuple(r) for r in subzones(refs.read_zones(spark, str(tmp_path))).collect()] == [
+        ("europe", 1, "uk")]
+
+
 def test_subzones(spark):
     box = {"tl_y": 1.0, "tl_x": 1.0, "br_y": 0.0, "br_x": 2.0}
     doc = json.dumps({"europe": {**box, "subzones": {"poland": box, "uk": box}}, "asia": box,
