@@ -522,6 +522,8 @@ oracle("gold_all", REPLAYED + KPI_CTES, " UNION ALL ".join(
     f"round({measure}::DOUBLE, 3) AS measure FROM {name}"
     for name, (label, measure) in SUMMARY.items()))
 
+ORACLES["batch_run"] = ORACLES["gold_all"]
+
 oracle("kpi_row_counts", GOLD, counts(KPI_NAMES))
 
 oracle("top3_for_country", GOLD, """
@@ -607,6 +609,18 @@ UNION ALL SELECT batch_id, 'WARNING', 'low_data_quality',
 UNION ALL SELECT batch_id, 'WARNING', 'sla_breach', 'Durée ' || seconds || 's > SLA 1800s'
 FROM runs WHERE seconds > 1800""")
 
+oracle("alert_documents", RUNS, """
+SELECT batch_id, end_time AS timestamp,
+  (num_errors > 0)::BIGINT + (pct_valid < 70)::BIGINT + (seconds > 1800)::BIGINT AS alert_count,
+  concat_ws(',', CASE WHEN num_errors > 0 THEN 'pipeline_errors' END,
+    CASE WHEN pct_valid < 70 THEN 'low_data_quality' END,
+    CASE WHEN seconds > 1800 THEN 'sla_breach' END) AS types
+FROM runs WHERE num_errors > 0 OR pct_valid < 70 OR seconds > 1800""")
+
+oracle("history_csv", RUNS, """
+SELECT batch_id, status, total_rows::VARCHAR AS flights, num_errors::VARCHAR AS num_errors,
+  num_warnings::VARCHAR AS num_warnings, end_time FROM runs""")
+
 oracle("latest_outcome", RUNS, """
 SELECT batch_id, status, num_errors, status = 'success' AS succeeded FROM runs
 ORDER BY end_time DESC, batch_id DESC LIMIT 1""")

@@ -21,7 +21,7 @@ from skytally.operators.enrich import derive_columns, fill_from_dimensions
 from skytally.operators.pick import latest_per_flight
 from skytally.operators.quality import flag_quality
 from skytally.plans import runs as run_plans
-from skytally.plans.batch import replay
+from skytally.plans.batch import replay, run_batch
 from skytally.plans.gold import gold_tables
 from skytally.plans.silver import silver_fact
 from skytally.schema import FLIGHTS_RAW, LABEL_COLUMNS
@@ -545,6 +545,16 @@ def gold_all(spark, sf_dir):
     return summary(loaded.gold)
 
 
+@query
+def batch_run(spark, sf_dir):
+    """One whole batch run over every observation; its KPIs read back from the lake."""
+    lake = new_lake(spark)
+    observations = bridge.feed(spark, sf_dir).drop(*TIE_BREAK)
+    run_batch(observations, lake, RUN_TS, "B1", bridge.airports_dim(spark),
+              bridge.airlines_dim(spark))
+    return summary({name: spark.read.parquet(lake.gold(name)) for name in kpis.KPIS})
+
+
 @query
 def kpi_row_counts(spark, sf_dir):
     facts = stored(silver(spark, sf_dir), "silver")
@@ -724,6 +734,26 @@ def run_alerts(spark, sf_dir):
     return run_plans.run_alerts(run_plans.run_documents(run_measures(spark, sf_dir)))
 
 
+@query
+def alert_documents(spark, sf_dir):
+    """Alert documents written as JSON, one per run that has alerts, and read back."""
+    lake = new_lake(spark)
+    runs = run_plans.run_documents(run_measures(spark, sf_dir))
+    reports.write_alerts(stored(run_plans.alert_documents(runs), "alerts"), lake)
+    return spark.read.schema(run_plans.alert_documents(runs).schema).json(lake.alerts).select(
+        "batch_id", "timestamp", "alert_count",
+        F.array_join(F.transform("alerts", lambda a: a["type"]), ",").alias("types"))
+
+
+@query
+def history_csv(spark, sf_dir):
+    """The run history exported as CSV and read back as text."""
+    path = scratch_path(spark, "history")
+    reports.export_history_csv(run_plans.run_history(landed_runs(spark, sf_dir)), path)
+    return spark.read.option("header", True).csv(path).select(
+        "batch_id", "status", "flights", "num_errors", "num_warnings", "end_time")
+
+
 @query
 def latest_outcome(spark, sf_dir):
     return run_plans.latest_outcome(run_plans.run_documents(run_measures(spark, sf_dir)))

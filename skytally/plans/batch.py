@@ -24,6 +24,10 @@ from skytally.sources.lake import read_bronze
 
 log = logging.getLogger(__name__)
 
+# Warning texts of a run document.
+EMPTY_WARNING = "Aucun vol retourné par l'API"
+QUALITY_WARNING = "Qualité {pct:.1f}% < seuil {threshold}%"
+
 
 def _utcnow() -> datetime:
     return datetime.now(timezone.utc)
@@ -153,13 +157,13 @@ def _run(spark, observations, lake, run_ts, batch_id, airports, airlines, settin
 
     profile = quality_profile(bronze, min_pct_valid=settings.min_pct_valid).first()
     if profile is None:
-        note("warnings", "empty_extraction", "Aucun vol retourné par l'API")
+        note("warnings", "empty_extraction", EMPTY_WARNING)
         return False
     report.update(extraction_rows=profile.total_rows, valid_rows=profile.valid_rows,
                   on_ground=profile.on_ground, on_flight=profile.on_flight)
     if profile.low_quality:
-        note("warnings", "low_quality",
-             f"Qualité {profile.pct_valid:.1f}% < seuil {settings.min_pct_valid}%")
+        note("warnings", "low_quality", QUALITY_WARNING.format(
+            pct=profile.pct_valid, threshold=settings.min_pct_valid))
     report.update(dimension_cardinality(bronze).first().asDict())
     if settings.save_quality_report:
         write_quality_report(bronze, lake, run_ts)

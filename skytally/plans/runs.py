@@ -11,6 +11,13 @@ from skytally.schema import DIMENSION_NAMES, KPI_NAMES, RUN_METRICS
 
 SLA_MINUTES = 30
 
+# Severities, types and message formats of alerts.
+CRITICAL, WARNING = "CRITICAL", "WARNING"
+ERRORS_ALERT = ("pipeline_errors", "%d erreur(s) durant le batch")
+QUALITY_ALERT = ("low_data_quality", "Qualité %.1f%% < seuil {threshold}%%")
+SLA_ALERT = ("sla_breach", "Durée %ds > SLA {sla}s")
+EMPTY_ALERT = ("empty_extraction", "Aucun vol extrait de l'API")
+
 # what a run reports about itself, next to its batch_id, start and end
 _COUNTS = ("extraction_rows", "valid_rows", "on_ground", "on_flight")
 _DIMENSION_COUNTS = dict(zip(DIMENSION_NAMES, (
@@ -87,21 +94,21 @@ def _alerts(min_pct_valid: float, sla_minutes: float) -> Column:
     seconds = F.coalesce(F.col("total_duration_seconds"), F.lit(0.0))
     sla_seconds = sla_minutes * 60
 
-    def alert(condition: Column, severity: str, kind: str, message: Column) -> Column:
+    def alert(condition: Column, severity: str, kind_and_format: tuple[str, str],
+              *values: Column, **limits: float) -> Column:
+        kind, message = kind_and_format
         return F.when(condition, F.struct(
-            F.lit(severity).alias("severity"), F.lit(kind).alias("type"), message.alias("message"),
+            F.lit(severity).alias("severity"), F.lit(kind).alias("type"),
+            F.format_string(message.format(**limits), *values).alias("message"),
         ))
 
-    # Severities, types and message formats.
+    whole_seconds = F.rint(seconds).cast("long")
     return F.array_compact(F.array(
-        alert(errors > 0, "CRITICAL", "pipeline_errors",
-              F.format_string("%d erreur(s) durant le batch", errors)),
-        alert((rows > 0) & (pct < min_pct_valid), "WARNING", "low_data_quality",
-              F.format_string(f"Qualité %.1f%% < seuil {min_pct_valid}%%",
-                              pct)),
-        alert(seconds > sla_seconds, "WARNING", "sla_breach",
-              F.format_string(f"Durée %ds > SLA {sla_seconds}s", F.rint(seconds).cast("long"))),
-        alert(rows == 0, "WARNING", "empty_extraction", F.lit("Aucun vol extrait de l'API")),
+        alert(errors > 0, CRITICAL, ERRORS_ALERT, errors),
+        alert((rows > 0) & (pct < min_pct_valid), WARNING, QUALITY_ALERT, pct,
+              threshold=min_pct_valid),
+        alert(seconds > sla_seconds, WARNING, SLA_ALERT, whole_seconds, sla=sla_seconds),
+        alert(rows == 0, WARNING, EMPTY_ALERT),
     ))
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import glob
 import os
 import random
 from collections import Counter
@@ -11,6 +12,7 @@ from conftest import RUN_TS
 from pyspark.sql import functions as F
 
 from checks.queries import QUERIES
+from skytally.layout import Lake
 from skytally.operators import kpis
 from skytally.operators.dimensions import airports_of_facts
 from skytally.operators.enrich import fill_from_dimensions
@@ -18,6 +20,7 @@ from skytally.operators.pick import latest_per_flight
 from skytally.operators.profile import dimension_cardinality
 from skytally.operators.quality import flag_counts, flag_quality
 from skytally.plans.silver import silver_fact
+from skytally.sinks.lake import label_hours, write_bronze
 
 SF = "/root/testdata/sf0.001"
 
@@ -180,3 +183,25 @@ def test_large_dimensions_join_shuffled_with_hot_keys_split(spark):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_a_large_hour_is_written_by_several_tasks(spark, tmp_path, observations):
+    """Rebalancing gathers small hours into one file and splits one that holds most rows.
+
+    A small hour may share the hash partition of the large one and is then split with it.
+    """
+    lake = Lake(str(tmp_path))
+    rows = spark.range(0, 120_000, 1, 6).select(
+        F.sha2(F.col("id").cast("string"), 256).alias("flight_id"),
+        F.when(F.col("id") % 3 > 0, 0).otherwise(F.col("id") % 5).alias("hour"))
+    at = F.timestamp_add("HOUR", F.col("hour").cast("int"), F.lit(RUN_TS))
+    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    try:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1mb")
+        write_bronze(label_hours(rows, at), lake, many_hours=True)
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
+    files = Counter(p.split("tech_hour=")[1][:2] for p in glob.glob(f"{lake.bronze}/*/*/*/*/*.parquet"))
+    assert files["14"] > 1
+    assert Counter(n for hour, n in files.items() if hour != "14")[1] >= 3
+    assert spark.read.parquet(lake.bronze).count() == 120_000
