@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 from datetime import datetime
 
@@ -13,8 +14,11 @@ from skytally.functions import continent_code, country_code_of_name, instant, is
 from skytally.functions.reference import CODE_OF_NAME_KEY, name_key
 from skytally.operators.pick import most_complete_per_key
 from skytally.schema import AIRLINE_RECORDS, AIRPORT_RECORDS, AIRPORTS_CSV, CORRUPT, ZONES
+from skytally.session import scratch_path
 from skytally.sinks.lake import write_dimension
 
+log = logging.getLogger(__name__)
+
 MAX_AGE_DAYS = 7
 MIN_AIRPORT_FIELDS = 8
 _MISSING = r"\N"
@@ -149,13 +153,21 @@ def fresh_or_refreshed(
 ) -> DataFrame | None:
     """A dimension for this run: the snapshot while fresh, otherwise refreshed and rewritten.
 
-    When the refresh fails the old snapshot serves, however old; None if there is none.
+    When the refresh fails or brings nothing, the old snapshot serves, however old; None if
+    there is none. The refresh is written to the scratch folder first: an overwrite deletes
+    before it computes, so a failing one would take the old snapshot with it.
     """
     snapshot = read_snapshot(spark, path)
     if snapshot is not None and snapshot_freshness(snapshot, as_of, max_age_days).first().fresh:
         return snapshot
     try:
-        write_dimension(refresh(), path)
+        staged = scratch_path(spark, "dimension")
+        refresh().write.parquet(staged)
+        refreshed = spark.read.parquet(staged)
+        if refreshed.isEmpty():
+            return snapshot
     except Exception:  # noqa: BLE001 - any source failure falls back to the old snapshot
+        log.warning("refreshing %s failed", path, exc_info=True)
         return snapshot
+    write_dimension(refreshed, path)
     return read_snapshot(spark, path)

@@ -184,6 +184,18 @@ def test_freshness_and_refresh(spark, tmp_path, run_ts):
     assert name(refs.fresh_or_refreshed(spark, path, lambda: table("two"), as_of)) == "one"
     later = as_of + timedelta(days=8)
     assert name(refs.fresh_or_refreshed(spark, path, fail, later)) == "one"
+    assert name(refs.fresh_or_refreshed(spark, path, lambda: table("x").limit(0), later)) == "one"
+
+    def breaks_while_running():
+        return spark.range(3).select(F.raise_error(F.lit("bad record")).cast("string").alias("airline_name"))
+
+    assert name(refs.fresh_or_refreshed(spark, path, breaks_while_running, later)) == "one"
+
+    def from_itself():
+        return spark.read.parquet(path).unionByName(table("two")).orderBy(F.desc("airline_name")).limit(1)
+
+    assert name(refs.fresh_or_refreshed(spark, path, from_itself, later)) == "two"
+    refs.fresh_or_refreshed(spark, path, lambda: table("one"), later)
     assert name(refs.fresh_or_refreshed(spark, path, lambda: table("two"), later)) == "two"
 
 
