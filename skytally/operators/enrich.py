@@ -17,7 +17,7 @@ _AIRPORT_FILL = {
 
 
 # a dimension planned larger than this is not broadcast
-BROADCAST_LIMIT_BYTES = 32 * 1024 * 1024
+BROADCAST_LIMIT_BYTES = 10 * 1024 * 1024
 
 
 def planned_bytes(df: DataFrame) -> int:

@@ -19,7 +19,9 @@ def gold_tables(silver: DataFrame, run_ts: datetime) -> dict[str, DataFrame]:
 def load_gold(silver: DataFrame, lake: Lake, run_ts: datetime) -> dict[str, DataFrame]:
     """Write every KPI for the run's hour; returns the tables as written.
 
-    ``silver`` should be read from a written table: each KPI then scans only its own columns.
+    ``silver`` should be read from a written table: each KPI then scans only its own few columns
+    and groups by few keys. One shared aggregate over the keys of all KPIs would save scans but
+    has so many groups that it hardly combines before its shuffle.
     """
     spark = silver.sparkSession
     written = {}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,6 +10,14 @@ from skytally.schema import BRONZE, LABEL_COLUMNS
 from skytally.layout import Lake
 
 
+def read_snapshot(spark: SparkSession, path: str) -> DataFrame | None:
+    """A Parquet table, or None when there is none (yet) at that path."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException:
+        return None
+
+
 def read_bronze(
     spark: SparkSession, lake: Lake, day: str | None = None, batch_id: str | None = None,
 ) -> DataFrame:
@@ -33,6 +42,7 @@ def latest_snapshot(table: DataFrame) -> DataFrame:
     return table.drop("computed_at", *LABEL_COLUMNS)
 
 
-def read_latest(spark: SparkSession, lake: Lake, kpi: str) -> DataFrame:
-    """Latest snapshot of a Gold table."""
-    return latest_snapshot(spark.read.parquet(lake.gold(kpi)))
+def read_latest(spark: SparkSession, lake: Lake, kpi: str) -> DataFrame | None:
+    """Latest snapshot of a Gold table; None before the first one."""
+    table = read_snapshot(spark, lake.gold(kpi))
+    return None if table is None else latest_snapshot(table)

@@ -6,7 +6,6 @@ import logging
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +15,7 @@ from skytally.operators.pick import most_complete_per_key
 from skytally.schema import AIRLINE_RECORDS, AIRPORT_RECORDS, AIRPORTS_CSV, CORRUPT, ZONES
 from skytally.session import scratch_path
 from skytally.sinks.lake import write_dimension
+from skytally.sources.lake import read_snapshot
 
 log = logging.getLogger(__name__)
 
@@ -126,14 +126,6 @@ def filter_countries(airports: DataFrame, spec: str, country: str = "country_nam
     return airports.where(key.isin(wanted))
 
 
-def read_snapshot(spark: SparkSession, path: str) -> DataFrame | None:
-    """A dimension snapshot, or None when there is none yet."""
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
-        return None
-
-
 def snapshot_freshness(
     snapshot: DataFrame, as_of: datetime, max_age_days: float = MAX_AGE_DAYS,
 ) -> DataFrame:

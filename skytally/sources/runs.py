@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,17 +37,23 @@ def read_run_metrics(
 ) -> DataFrame:
     """All run documents under a folder, with ``file_modified``; unreadable files are skipped.
 
+    No folder, no documents.
+
     ``multi_line`` reads one (possibly pretty-printed) document per file.
     """
     schema = T.StructType([*RUN_METRICS, T.StructField(CORRUPT, T.StringType(), True)])
-    documents = (
+    reader = (
         spark.read.schema(schema)
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", pattern)
         .option("multiLine", multi_line)
         .option("columnNameOfCorruptRecord", CORRUPT)
-        .json(path)
     )
+    try:
+        documents = reader.json(path)
+    except AnalysisException:  # no run yet
+        return spark.createDataFrame([], RUN_METRICS).withColumn(
+            "file_modified", F.lit(None).cast("timestamp"))
     return (
         documents.select("*", F.col("_metadata.file_modification_time").alias("file_modified"))
         .where(F.col(CORRUPT).isNull() & F.col("batch_id").isNotNull())

@@ -82,6 +82,7 @@ def test_latest_snapshot(spark, lake, run_ts):
     assert latest.columns == ["v"]
     assert [r.v for r in latest.collect()] == ["new", "new"]
     assert latest_snapshot(spark.read.parquet(lake.gold("kpi_x")).limit(0)).count() == 0
+    assert read_latest(spark, lake, "kpi_absent") is None
 
 
 def airports(spark):

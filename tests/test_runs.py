@@ -123,6 +123,12 @@ def test_history_skips_unreadable_files_and_is_newest_first(spark, tmp_path):
     assert back.count() == 3
 
 
+def test_no_runs_yet(spark, tmp_path):
+    runs = sources.read_run_metrics(spark, str(tmp_path / "nothing"))
+    assert plans.run_history(runs).count() == plans.run_alerts(runs).count() == 0
+    assert plans.latest_outcome(runs).count() == 0
+
+
 def test_latest_outcome(spark):
     start = datetime(2026, 6, 22, tzinfo=timezone.utc)
     good, bad = documents(spark), documents(
