@@ -13,13 +13,15 @@ from skytally.functions import instant, partition_labels
 from skytally.layout import Lake
 from skytally.operators.dimensions import choose_dimensions, row_counts
 from skytally.operators.profile import dimension_cardinality
-from skytally.operators.quality import MIN_PCT_VALID, flag_quality, quality_profile
+from skytally.operators.quality import MIN_PCT_VALID, flag_quality
 from skytally.plans.gold import load_gold
 from skytally.plans.runs import SLA_MINUTES, alert_documents, run_documents
 from skytally.plans.silver import silver_fact
 from skytally.session import scratch_path
 from skytally.sinks.lake import label_hours, write_bronze, write_dimension, write_fact
-from skytally.sinks.reports import write_alerts, write_quality_report, write_run_metrics
+from skytally.sinks.reports import (
+    quality_report, write_alerts, write_quality_report, write_run_metrics,
+)
 from skytally.sources.lake import read_bronze
 
 log = logging.getLogger(__name__)
@@ -155,7 +157,8 @@ def _run(spark, observations, lake, run_ts, batch_id, airports, airlines, settin
     for name, label in partition_labels(instant(run_ts)).items():
         bronze = bronze.where(F.col(name) == label)
 
-    profile = quality_profile(bronze, min_pct_valid=settings.min_pct_valid).first()
+    quality = quality_report(bronze, settings.min_pct_valid)
+    profile = quality.first()  # one row
     if profile is None:
         note("warnings", "empty_extraction", EMPTY_WARNING)
         return False
@@ -166,7 +169,7 @@ def _run(spark, observations, lake, run_ts, batch_id, airports, airlines, settin
             pct=profile.pct_valid, threshold=settings.min_pct_valid))
     report.update(dimension_cardinality(bronze).first().asDict())
     if settings.save_quality_report:
-        write_quality_report(bronze, lake, run_ts)
+        write_quality_report(spark.createDataFrame([profile], quality.schema), lake, run_ts)
 
     if settings.load_silver_gold:
         gold_started = _utcnow()

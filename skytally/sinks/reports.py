@@ -7,12 +7,12 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skytally.operators.quality import flag_counts, quality_profile
+from skytally.operators.quality import MIN_PCT_VALID, flag_counts, quality_profile
 from skytally.layout import Lake
 
 
-def quality_report(flagged: DataFrame) -> DataFrame:
-    """The quality profile with the flag frequencies as one nested row.
+def quality_report(flagged: DataFrame, min_pct_valid: float = MIN_PCT_VALID) -> DataFrame:
+    """The quality profile with the flag frequencies as one nested row; none for no rows.
 
     The collected list holds one entry per flag, of which there are eight.
     """
@@ -22,12 +22,12 @@ def quality_report(flagged: DataFrame) -> DataFrame:
         ranked, lambda e: F.struct(e["flag"].alias("flag"), (-e["neg"]).alias("count")),
     )
     top = flag_counts(flagged).agg(entries.alias("top_flags")).scalar()
-    return quality_profile(flagged).withColumn("top_flags", top)
+    return quality_profile(flagged, min_pct_valid=min_pct_valid).withColumn("top_flags", top)
 
 
-def write_quality_report(flagged: DataFrame, lake: Lake, run_ts: datetime) -> None:
-    """Append the report under its date and hour."""
-    quality_report(flagged).write.mode("append").json(lake.quality_report(run_ts))
+def write_quality_report(report: DataFrame, lake: Lake, run_ts: datetime) -> None:
+    """Append a report under its date and hour."""
+    report.write.mode("append").json(lake.quality_report(run_ts))
 
 
 def write_run_metrics(runs: DataFrame, lake: Lake) -> None:
