@@ -1,7 +1,7 @@
 """Column expressions: codes, coercion, reference look-ups and distances."""
 
 from skytally.functions.codes import (
-    count_when, instant, is_blank, normalize_code, partition_label_path, partition_labels, percent,
+    as_utc, count_when, instant, is_blank, normalize_code, partition_label_path, partition_labels, percent,
     to_double, to_int,
 )
 from skytally.functions.geo import great_circle_km
@@ -10,7 +10,7 @@ from skytally.functions.reference import (
 )
 
 __all__ = [
-    "continent_code", "continent_name", "count_when", "country_code_of_name",
+    "as_utc", "continent_code", "continent_name", "count_when", "country_code_of_name",
     "great_circle_km", "instant", "is_blank", "manufacturer", "normalize_code", "partition_label_path",
     "partition_labels", "percent", "to_double", "to_int",
 ]

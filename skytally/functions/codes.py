@@ -19,11 +19,14 @@ _LABEL_STRFTIME = {
 _JVM_ONLY_NUMBER = r"(?i)[0-9.][df]\s*$|x"
 
 
+def as_utc(at: datetime) -> datetime:
+    """The same instant in UTC; a naive ``datetime`` is taken as UTC."""
+    return at.astimezone(timezone.utc) if at.tzinfo else at.replace(tzinfo=timezone.utc)
+
+
 def instant(at: datetime | Column) -> Column:
-    """A point in time as a timestamp column; a naive ``datetime`` is taken as UTC."""
-    if isinstance(at, datetime):
-        at = F.lit(at if at.tzinfo else at.replace(tzinfo=timezone.utc))
-    return at.cast("timestamp")
+    """A point in time as a timestamp column."""
+    return (F.lit(as_utc(at)) if isinstance(at, datetime) else at).cast("timestamp")
 
 
 def normalize_code(code: Column) -> Column:
@@ -66,5 +69,5 @@ def partition_labels(at: Column) -> dict[str, Column]:
 
 def partition_label_path(run_ts: datetime) -> str:
     """The labels of one run as a relative directory."""
-    at = run_ts.astimezone(timezone.utc) if run_ts.tzinfo else run_ts
-    return "/".join(f"{name}={at.strftime(pattern)}" for name, pattern in _LABEL_STRFTIME.items())
+    at = as_utc(run_ts)
+    return "/".join(f"{name}={at:{pattern}}" for name, pattern in _LABEL_STRFTIME.items())

@@ -5,6 +5,8 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime
 
+from skytally.functions import as_utc
+
 
 @dataclass(frozen=True)
 class Lake:
@@ -35,4 +37,4 @@ class Lake:
         return f"{self.root}/_logs/alerts"
 
     def quality_report(self, run_ts: datetime) -> str:
-        return f"{self.root}/gold/_quality_logs/{run_ts:%Y-%m-%d}/{run_ts:%H}"
+        return f"{self.root}/gold/_quality_logs/{as_utc(run_ts):%Y-%m-%d/%H}"

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import math
+from datetime import timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from skytally.functions.codes import instant
 from skytally.functions.reference import (
     CODE_OF_NAME_KEY, CONTINENT_NAMES, CONTINENT_OF_COUNTRY, COUNTRY_NAMES,
 )
+from skytally.layout import Lake
 
 
 def values(spark, expression, inputs, dtype="string"):
@@ -86,6 +88,9 @@ def test_partition_labels(spark, run_ts):
         "tech_year": "2026", "tech_month": "2026-06", "tech_day": "2026-06-21", "tech_hour": "14"}
     assert partition_label_path(run_ts) == \
         "tech_year=2026/tech_month=2026-06/tech_day=2026-06-21/tech_hour=14"
+    paris = run_ts.astimezone(timezone(timedelta(hours=2)))
+    assert partition_label_path(paris) == partition_label_path(run_ts)
+    assert Lake("/x").quality_report(paris) == "/x/gold/_quality_logs/2026-06-21/14"
     assert spark.range(1).select(instant(run_ts) == instant(run_ts.replace(tzinfo=None))).first()[0]
 
 
