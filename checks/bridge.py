@@ -9,9 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from datetime import datetime, timezone
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from skytally.functions import continent_code, country_code_of_name
 from skytally.operators.pick import latest_per_flight
@@ -52,11 +54,11 @@ AIRPORTS = [
     ("XXA", "Atlantis", None, "UNKNOWN", 0.0, -30.0),
 ]
 
-# brand number - 1 -> raw aircraft code
+# brand number - 1 -> raw aircraft code; a number beyond the list has none
 AIRCRAFT = [
     "A320", "B738", "BCS3", "CRJ9", "CL60", "DH8D", "AT76", "E190", "E290", "EMB1", "MD11",
     "F100", "SU95", "AN26", "IL96", "TU54", "C172", " a20n", "b789 ", "A359", "B77W", "A321",
-    "B38M", "", None,
+    "B38M", "",
 ]
 
 AIRLINES = 40
@@ -79,16 +81,27 @@ FILLED = (
 TIE_BREAK = ("obs_line", "obs_part", "obs_supplier")
 
 
+@cache
+def table_schema(sf_dir: str, name: str) -> StructType:
+    """Schema of a table; reading it costs a job, so it is done once."""
+    return SparkSession.active().read.parquet(f"{sf_dir}/{name}.parquet").schema
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(table_schema(sf_dir, name)).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def text(value: str, column: Column) -> Column:
     return F.concat(F.lit(value), column.cast("string"))
 
 
-def airport_field(nation_key: Column, position: int) -> Column:
-    return F.get(F.array(*(F.lit(a[position]) for a in AIRPORTS)), nation_key)
+def constants(values: Iterable, dtype: str = "string") -> Column:
+    """A constant array, handed over as one text."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast(f"array<{dtype}>")
+
+
+def airport_field(nation_key: Column, position: int, dtype: str = "string") -> Column:
+    return F.get(constants((a[position] for a in AIRPORTS), dtype), nation_key)
 
 
 def _feed_columns() -> dict[str, tuple[str, Column]]:
@@ -106,7 +119,7 @@ def _feed_columns() -> dict[str, tuple[str, Column]]:
         "airline_icao": ("", F.when(supp % 23 == 0, "  ")
                          .when(supp % 7 == 0, text(" al", supp % AIRLINES))
                          .otherwise(text("AL", supp % AIRLINES))),
-        "aircraft_code": ("part", F.get(F.array(*map(F.lit, AIRCRAFT)), brand - 1)),
+        "aircraft_code": ("part", F.get(constants(AIRCRAFT), brand - 1)),
         "origin_iata": ("supplier", F.when(part % 31 != 0, airport_field(F.col("s_nationkey"), 0))),
         "destination_iata": ("orders", F.when(part % 37 == 0, "")
                              .otherwise(airport_field(F.col("c_nationkey"), 0))),

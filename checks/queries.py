@@ -296,7 +296,7 @@ def _origins(spark, sf_dir):
     ).select(
         "l_orderkey", "l_linenumber", "l_suppkey",
         bridge.airport_field(key, 1).alias("country_name"),
-        F.lower(bridge.airport_field(key, 2)).alias("raw_code"),
+        F.lower(F.nullif(bridge.airport_field(key, 2), F.lit("None"))).alias("raw_code"),
     )
 
 
@@ -345,7 +345,8 @@ def haversine(spark, sf_dir):
     lon = (F.col("l_suppkey") % 360 - 180).cast("double")
     return rows.select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
-        great_circle_km(lat, lon, bridge.airport_field(key, 4), bridge.airport_field(key, 5))
+        great_circle_km(lat, lon, bridge.airport_field(key, 4, "double"),
+                        bridge.airport_field(key, 5, "double"))
         .alias("distance_km"),
     )
 
