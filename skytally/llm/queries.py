@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skytally.llm import licenses, quality, toxicity
+from skytally.llm import decontaminate, licenses, pii, quality, toxicity
 from skytally.llm.common import read_table
+from skytally.llm.oracles import ORACLES  # noqa: F401 - registered with the queries
 
 
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,6 +19,13 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(read_table(spark, sf_dir, "documents")).drop("matches")
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents")
+    return pii.find_pii(documents, pii.fit_crf(documents)).select(
+        "doc_id", "n_email", "n_ip", "n_card", "n_phone",
+        F.sha2("base_spans", 256).alias("base_sha256"), "spans")
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
     held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
@@ -26,6 +34,11 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", "predicted")
 
 
-QUERIES = {f.__name__: f for f in (op2_quality_classifier, op4_license_scan, op7_toxicity)}
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = decontaminate.build_index(read_table(spark, sf_dir, "documents"))
+    matches = decontaminate.find_matches(index, read_table(spark, sf_dir, "benchmark"))
+    return decontaminate.contamination(matches).drop("n_near")
+
 
-ORACLES: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (
+    op2_quality_classifier, op4_license_scan, op5_pii, op7_toxicity, op8_decontamination)}
