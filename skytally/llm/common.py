@@ -12,6 +12,7 @@ from skytally.session import scratch_path
 
 # Texts vary from empty to megabytes; small batches bound a worker's memory.
 BATCH_ROWS = 500
+BATCH_BYTES = 16 << 20
 
 # A-Z become a-z, every other ASCII byte that is no digit or letter a space.
 WORD_BYTES = bytes(
@@ -20,8 +21,9 @@ WORD_BYTES = bytes(
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Set how many texts go to a Python worker at once."""
+    """Set how many rows and bytes go to a Python worker at once."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return spark
 
 

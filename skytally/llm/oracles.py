@@ -26,4 +26,16 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM d LEFT JOIN h USING (rid) LEFT JOIN t USING (rid)
 """
 
-ORACLES = {"op8_decontamination": OP8}
+OP9 = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, max(page_id) OVER (PARTITION BY coalesce(html, '')) AS kept
+           FROM pages)
+SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes,
+       list_aggregate(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST(
+           (CAST('0x' || substr(sha1(html), 1 + 5 * CAST(i // 4 AS INTEGER), 5) AS BIGINT) >> (15 - 5 * (i % 4))) & 31
+           AS INTEGER), 1)), 'string_agg', '') AS payload_digest,
+       CASE WHEN kept = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN kept <> page_id THEN kept END AS refers_to
+FROM p
+"""
+
+ORACLES = {"op8_decontamination": OP8, "op9_warc": OP9}

@@ -2,19 +2,28 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skytally.llm import decontaminate, licenses, pii, quality, toxicity
+from skytally.llm import decontaminate, licenses, packing, pii, quality, toxicity, warc
 from skytally.llm.common import read_table
 from skytally.llm.oracles import ORACLES  # noqa: F401 - registered with the queries
 
+# Archive date of the converted pages.
+ARCHIVE_TIME = datetime(2026, 1, 1, tzinfo=timezone.utc)
+
 
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read_table(spark, sf_dir, "documents")
     return quality.score_quality(documents, quality.fit_quality(documents))
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read_table(spark, sf_dir, "documents"))
+
+
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(read_table(spark, sf_dir, "documents")).drop("matches")
 
@@ -40,5 +49,11 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(matches).drop("n_near")
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.archive_pages(read_table(spark, sf_dir, "pages"), ARCHIVE_TIME)
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 QUERIES = {f.__name__: f for f in (
-    op2_quality_classifier, op4_license_scan, op5_pii, op7_toxicity, op8_decontamination)}
+    op2_quality_classifier, op3_packing, op4_license_scan, op5_pii, op7_toxicity,
+    op8_decontamination, op9_warc)}
