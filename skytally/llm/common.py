@@ -70,11 +70,16 @@ def map_batches(df: DataFrame, one: Callable[[pa.RecordBatch], dict], schema: st
     return df.mapInArrow(run, schema)
 
 
+def fingerprint(pairs: DataFrame) -> tuple:
+    """Count and hash sum of a table of pairs; equal tables have equal ones."""
+    return tuple(pairs.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+
+
 def components(edges: DataFrame, purpose: str = "components") -> DataFrame:
     """Smallest reachable id per vertex: rows (id, component) for every vertex of an edge.
 
     ``edges`` has long columns a and b. Alternates large-star and small-star steps, so the
-    number of rounds grows with the logarithm of a component's size; every round is written
+    number of rounds grows with the logarithm of a component's size; every step is written
     to the shared folder. Null ends and self loops are dropped, repeated edges count once.
     The hub of a star is never collected: both steps are a ``min`` per vertex and a join.
     """
@@ -83,24 +88,22 @@ def components(edges: DataFrame, purpose: str = "components") -> DataFrame:
             F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
     current = stored(directed(edges.where("a is not null and b is not null")), purpose)
-    while True:
+    before = fingerprint(current)
+    while before[0]:
+        # large star: larger neighbours of a vertex move to the smallest of it and its neighbours
         both = current.union(current.select("b", "a"))
-        least = stored(both.groupBy("a").agg(F.min("b").alias("m"))
-                       .select("a", F.least("a", "m").alias("m")), purpose)
-        # large star: larger neighbours of a vertex move to its smallest neighbour
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = stored(directed(large), purpose)
+        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        large = stored(directed(both.join(least, "a").where("b > a").select(
+            F.col("b").alias("a"), F.col("m").alias("b"))), purpose)
         # small star: smaller neighbours of a vertex, and itself, move to the smallest of them
-        least = stored(large.groupBy("a").agg(F.min("b").alias("m")), purpose)
-        joined = large.join(least, "a")
-        small = stored(directed(
-            joined.select(F.col("b").alias("a"), F.col("m").alias("b"))
+        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        current = stored(directed(
+            large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
             .union(least.select("a", F.col("m").alias("b")))), purpose)
-        changed = (small.exceptAll(current).limit(1).count()
-                   or current.exceptAll(small).limit(1).count())
-        current = small
-        if not changed:
+        after = fingerprint(current)
+        if after == before:
             break
+        before = after
     return current.groupBy("a").agg(F.min("b").alias("m")).select(
         F.col("a").alias("id"), F.col("m").alias("component")).union(
         current.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct())

@@ -7,7 +7,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skytally.llm import decontaminate, licenses, packing, pii, quality, toxicity, warc
+from skytally.llm import decontaminate, jaccard, licenses, packing, pii, quality, toxicity, warc
 from skytally.llm.common import read_table
 from skytally.llm.oracles import ORACLES  # noqa: F401 - registered with the queries
 
@@ -35,6 +35,10 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("base_spans", 256).alias("base_sha256"), "spans")
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similarity_classes(read_table(spark, sf_dir, "documents"), n=3, percent=90).drop("n_links")
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
     held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
@@ -55,5 +59,5 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_quality_classifier, op3_packing, op4_license_scan, op5_pii, op7_toxicity,
-    op8_decontamination, op9_warc)}
+    op2_quality_classifier, op3_packing, op4_license_scan, op5_pii, op6_jaccard_join,
+    op7_toxicity, op8_decontamination, op9_warc)}
