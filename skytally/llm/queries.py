@@ -7,7 +7,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skytally.llm import decontaminate, jaccard, licenses, packing, pii, quality, toxicity, warc
+from skytally.llm import decontaminate, jaccard, licenses, packing, pii, quality, suffix, toxicity, warc
 from skytally.llm.common import read_table
 from skytally.llm.oracles import ORACLES  # noqa: F401 - registered with the queries
 
@@ -58,6 +58,10 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.remove_repeats(read_table(spark, sf_dir, "documents"), length=200).drop("spans", "kept")
+
+
 QUERIES = {f.__name__: f for f in (
     op2_quality_classifier, op3_packing, op4_license_scan, op5_pii, op6_jaccard_join,
-    op7_toxicity, op8_decontamination, op9_warc)}
+    op7_toxicity, op8_decontamination, op9_warc, op10_suffix_dedup)}
