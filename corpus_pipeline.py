@@ -2,28 +2,76 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from skytally.llm import toxicity
+from skytally.llm import decontaminate, jaccard, packing, pii, toxicity
 from skytally.llm.common import prepare, read_table, stored
 
 
+def row_key() -> F.Column:
+    """Tells rows apart by id and text, also where ids are null or repeated."""
+    return F.xxhash64("doc_id", "text")
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose toxicity score stays below 0.5; null texts stay or go by the bias."""
-    prepare(spark)
-    labels = read_table(spark, sf_dir, "labels")
-    model = toxicity.fit_toxicity(read_table(spark, sf_dir, "documents"), labels)
+    """Documents whose toxicity score stays below 0.5; a text without words has the bias's score."""
+    model = toxicity.fit_toxicity(docs, read_table(spark, sf_dir, "labels"))
     return toxicity.drop_toxic(docs, model)
 
 
-STAGES = [("toxicity", drop_toxic)]
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by five-word shingles and a Jaccard similarity of 0.8, that with the smallest id.
+
+    Rows without shingles or id all stay; of rows with the same id one stays, that of the smallest
+    text hash.
+    """
+    prepare(spark)
+    classes = stored(jaccard.similarity_classes(docs, n=5, percent=80).select("doc_id", "component_id"), "near-copies")
+    gone = stored(classes.where("component_id <> doc_id").select("doc_id").distinct(), "near-copies-gone")
+    kept = docs.join(gone, "doc_id", "left_anti")
+    if not classes.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count():
+        return kept
+    first = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text")))
+    return kept.withColumn("n", first).where("n = 1 or doc_id is null").select(docs.columns)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without any benchmark passage of ten words (or whole shorter item)."""
+    keyed = docs.select(row_key().alias("doc_id"), "text")
+    matches = decontaminate.find_matches(
+        decontaminate.build_index(keyed), read_table(spark, sf_dir, "benchmark"), slop=0)
+    gone = stored(decontaminate.contamination(matches).where("contaminated")
+                  .select(F.col("doc_id").alias("gone")).distinct(), "contaminated")
+    return docs.join(gone, row_key() == F.col("gone"), "left_anti")
+
+
+def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with personal data replaced by its kind in brackets and n_chars counted again."""
+    prepare(spark)
+    return pii.mask_pii(docs, pii.fit_crf(docs))
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Places of all pieces in sequences of 2048 tokens, see ``packing.pack``."""
+    prepare(spark)
+    return packing.pack(docs)
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("near copies", drop_near_copies),
+    ("decontamination", drop_contaminated),
+    ("personal data", mask_personal_data),
+    ("packing", pack_sequences),
+]
 
+# A trained classifier, message passing and a tokenizer are beyond SQL; tests use brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -7,7 +7,9 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skytally.llm import decontaminate, jaccard, licenses, packing, pii, quality, suffix, toxicity, warc
+from skytally.llm import (
+    ann, decontaminate, jaccard, licenses, packing, pii, quality, suffix, toxicity, warc,
+)
 from skytally.llm.common import read_table
 from skytally.llm.oracles import ORACLES  # noqa: F401 - registered with the queries
 
@@ -15,6 +17,10 @@ from skytally.llm.oracles import ORACLES  # noqa: F401 - registered with the que
 ARCHIVE_TIME = datetime(2026, 1, 1, tzinfo=timezone.utc)
 
 
+def op1_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read_table(spark, sf_dir, "documents")
     return quality.score_quality(documents, quality.fit_quality(documents))
@@ -63,5 +69,5 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_quality_classifier, op3_packing, op4_license_scan, op5_pii, op6_jaccard_join,
+    op1_nearest_neighbours, op2_quality_classifier, op3_packing, op4_license_scan, op5_pii, op6_jaccard_join,
     op7_toxicity, op8_decontamination, op9_warc, op10_suffix_dedup)}
