@@ -61,13 +61,15 @@ LABELLERS = (
     ("ended", lambda m: ABSTAIN if m["words"] < 30 else BAD if m["ended"] < 0.02 or m["ended"] > 0.6 else GOOD if 0.05 < m["ended"] < 0.3 else ABSTAIN),
     ("line_words", lambda m: ABSTAIN if m["words"] < 20 else BAD if m["line_words"] < 1.5 else GOOD if m["line_words"] > 5 else ABSTAIN),
     ("line_kinds", lambda m: BAD if m["line_kinds"] < 0.5 else ABSTAIN),
-    ("empty", lambda m: BAD if not m["words"] else ABSTAIN),
 )
+# This one never votes good: its silence counts as the other vote.
+ONE_SIDED = "line_kinds"
 
 
 def votes(text: bytes) -> list[int]:
+    """A vote of each labeller; none votes on a text without words."""
     m = measures(text)
-    return [rule(m) for _, rule in LABELLERS]
+    return [rule(m) if m["words"] else ABSTAIN for _, rule in LABELLERS]
 
 
 def hashed(text: bytes) -> set[int]:
@@ -82,19 +84,22 @@ def expectation_maximisation(patterns: np.ndarray, counts: np.ndarray, steps: in
     """Posterior of "good" per vote pattern, and per labeller P(vote | class, not abstaining) of shape (k, 2, 3).
 
     Starts from the vote majority, so the classes keep their meaning; counts are smoothed by one.
-    That a labeller abstains says nothing: short texts, on which few vote, count as neither.
+    That a labeller abstains says nothing, so short texts, on which few vote, count as neither;
+    only of the one-sided labeller it is a vote too.
     """
     n_rows, k = patterns.shape
     good, bad = (patterns == GOOD).sum(1), (patterns == BAD).sum(1)
     post = np.clip((good - 2.0 * bad + 0.5) / np.maximum(good + 2.0 * bad, 1), 0.02, 0.98)
     table = np.ones((k, 2, 3))
+    names = [name for name, _ in LABELLERS]
     for _ in range(steps):
         weight = np.stack([(1 - post) * counts, post * counts])
         prior = (weight.sum(1) + 1) / (counts.sum() + 2)
         for j in range(k):
-            for v in (BAD, GOOD):
+            used = (BAD, GOOD, ABSTAIN) if k == len(names) and names[j] == ONE_SIDED else (BAD, GOOD)
+            for v in used:
                 table[j, :, v] = weight[:, patterns[:, j] == v].sum(1) + 1
-            table[j, :, :ABSTAIN] /= table[j, :, :ABSTAIN].sum(1, keepdims=True)
+            table[j, :, :len(used)] /= table[j, :, :len(used)].sum(1, keepdims=True)
         logs = np.log(prior)[:, None] + sum(np.log(table[j][:, patterns[:, j]]) for j in range(k))
         post = sigmoid(logs[1] - logs[0]) if n_rows else post
     return post, table
@@ -103,7 +108,7 @@ def expectation_maximisation(patterns: np.ndarray, counts: np.ndarray, steps: in
 def fit_quality(documents: DataFrame, train_rows: int = TRAIN_ROWS):
     """(posterior per vote pattern, labeller tables, weights, bias).
 
-    Vote patterns are counted over all documents; there are at most 3^9 of them. The scorer is
+    Vote patterns are counted over all documents; there are at most 3^8 of them. The scorer is
     fitted to ``train_rows`` documents at most, those of the smallest id hash.
     """
     def vote(batch: pa.RecordBatch) -> dict:
@@ -137,8 +142,8 @@ def score_quality(documents: DataFrame, model) -> DataFrame:
     """(doc_id, n_votes, posterior, score, predicted, keep) of every row.
 
     ``posterior`` is the weak label, ``score`` the linear scorer's probability of good text,
-    ``predicted`` 1 and ``keep`` true where the score reaches 0.5. Null texts count as empty,
-    which is bad; repeated rows are scored each; an empty table gives no rows; other columns
+    ``predicted`` 1 and ``keep`` true where the score reaches 0.5. Null texts count as empty; a
+    text without words has score 0; repeated rows are scored each; an empty table gives no rows; other columns
     are ignored; whole texts, no shuffle.
     """
     posterior, _, w, b = model
@@ -148,6 +153,7 @@ def score_quality(documents: DataFrame, model) -> DataFrame:
         texts = as_bytes(batch.column("text"))
         given = [votes(t) for t in texts]
         s = sigmoid(np.array([b + sum(used.get(i, 0.0) for i in sorted(hashed(t))) for t in texts], float))
+        s[[not t.split() for t in texts]] = 0.0
         return {"doc_id": batch.column("doc_id").cast(pa.int64()),
                 "n_votes": [sum(v != ABSTAIN for v in g) for g in given],
                 "posterior": [posterior.get("".join(map(str, g)), 0.5) for g in given],

@@ -1,0 +1,63 @@
+import numpy as np
+import pytest
+
+import corpus_pipeline
+from skytally.llm.common import stored
+from tests.llm.test_packing import TOKENIZER, check_layout
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+@pytest.fixture
+def folder(spark, tmp_path):
+    """A corpus of random prose with one planted case of each kind."""
+    rng = np.random.default_rng(0)
+    words = [f"{a}{b}{c}" for a in "bdfgklmnprst" for b in "aeiou" for c in ("n", "ra", "lo", "")]
+    prose = lambda n: " ".join(rng.choice(words, n))
+    passage = prose(30)
+    rows, labels = [], []
+    for i in range(60):
+        toxic = i % 4 == 0
+        rows.append((i, prose(80) + (" zorp" if toxic else "")))
+        labels.append((i, 1, int(toxic)))
+    near = rows[1][1].split()
+    near[40] = "edited"
+    rows += [(100, " ".join(near)), (101, rows[2][1]), (102, prose(10) + " " + passage + " " + prose(10)),
+             (103, "write to me@example.org or +1 (743) 555-3824 " + prose(20)), (104, None), (105, ""), (106, prose(5000)),
+             (107, rows[5][1].upper() + " zorp"), (None, prose(30)), (108, prose(20)), (108, prose(20))]
+    spark.createDataFrame([(i, t, "en", "s", None if t is None else len(t)) for i, t in rows], SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(0, passage), (1, None)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    return str(tmp_path), rows
+
+
+def test_stages_take_effect(spark, folder):
+    path, rows = folder
+    docs = spark.read.parquet(f"{path}/documents.parquet")
+    kept = []
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stored(stage(spark, docs, path), "stage")
+        assert docs.columns == [c.split()[0] for c in SCHEMA.split(", ")]
+        kept.append({(r.doc_id, r.text) for r in docs.collect()})
+    toxic = {(i, t) for i, t in rows if t and "zorp" in t}
+    assert kept[0] == set(rows) - toxic
+    ids = [{i for i, _ in k} for k in kept]
+    assert ids[0] - ids[1] == {100, 101} and sum(i == 108 for i, _ in kept[1]) == 1
+    assert ids[1] - ids[2] == {102} and len(kept[1]) - len(kept[2]) == 1
+    assert ids[2] == ids[3] and len(kept[2]) == len(kept[3])
+    text = dict(kept[3])
+    assert text[103].startswith("write to [EMAIL] or [PHONE] ")
+    assert all(t == text[i] for i, t in kept[2] if i not in (103, None, 108))
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, path).collect()
+    check_layout(packed, 2048)
+    total = sum(len(TOKENIZER.encode(t or "", add_special_tokens=False).ids) + 1 for _, t in kept[3])
+    assert sum(r.length for r in packed) == total
+    again = corpus_pipeline.run(spark, path).collect()
+    assert sorted((str(r.doc_id), r.piece, r.ids_crc32) for r in again) == sorted((str(r.doc_id), r.piece, r.ids_crc32) for r in packed)
+
+
+def test_empty_tables(spark, tmp_path):
+    spark.createDataFrame([], SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
