@@ -213,11 +213,15 @@ def land(lines: DataFrame, purpose: str) -> str:
     return path
 
 
+# by part key modulo 11; beyond the list stands the observation's own value
+ON_GROUND_SPELLINGS = ("0", "0.0", "1.0", "1.7", "true", '"1"', '"1.0"', '"x"', '"N/A"', "null")
+
+
 def landed_feed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Feed records as JSON lines with the flaws the ingest must survive.
 
     Some altitudes are ``'N/A'``, empty or no number, some records have no id, some lines are
-    cut off.
+    cut off. ``on_ground`` comes as number, boolean, text or nothing.
     """
     part = F.col("obs_part")
     rows = feed(spark, sf_dir, (
@@ -236,9 +240,14 @@ def landed_feed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         "airline_icao", "aircraft_code",
         F.col("origin_iata").alias("origin_airport_iata"),
         F.col("destination_iata").alias("destination_airport_iata"),
-        "latitude", "longitude", altitude.alias("altitude"), "ground_speed", "on_ground",
+        "latitude", "longitude", altitude.alias("altitude"), "ground_speed",
     )
-    line = F.to_json(record)
+    spellings = F.array(*(F.lit(x) for x in ON_GROUND_SPELLINGS))
+    on_ground = F.coalesce(
+        F.get(spellings, (part % 11).cast("int")), F.col("on_ground").cast("string"), F.lit("null"))
+    fields = F.to_json(record)
+    line = F.concat(F.substring(fields, F.lit(1), F.length(fields) - 1), F.lit(',"on_ground":'),
+                    on_ground, F.lit("}"))
     return rows.select(
         F.when(part % 89 == 0, F.substring(line, F.lit(1), F.length(line) - 6)).otherwise(line)
         .alias("value")

@@ -165,8 +165,9 @@ SELECT {STAMP} AS extraction_timestamp, 'B1' AS batch_id, 'global' AS source_zon
   callsign, 'N' || obs_line AS flight_number, airline_icao, aircraft_code, origin_iata,
   destination_iata, round(latitude, 3) AS latitude, round(longitude, 3) AS longitude,
   round({ALTITUDE}, 3) AS altitude, round(ground_speed, 3) AS ground_speed,
-  NULL::DOUBLE AS heading, on_ground::BIGINT AS on_ground, NULL::VARCHAR AS airline_name,
-  NULL::VARCHAR AS status_text
+  NULL::DOUBLE AS heading, CASE WHEN obs_part % 11 < 2 THEN 0 WHEN obs_part % 11 < 6 THEN 1
+    WHEN obs_part % 11 = 10 THEN on_ground END::BIGINT AS on_ground,
+  NULL::VARCHAR AS airline_name, NULL::VARCHAR AS status_text
 FROM feed WHERE obs_part % 83 <> 0 AND obs_part % 89 <> 0""")
 
 oracle("ingest_rejects", "", """
@@ -182,9 +183,9 @@ QUALIFY row_number() OVER (PARTITION BY flight_id ORDER BY zone, feed.latitude,
   feed.longitude, feed.altitude, on_ground NULLS LAST) = 1""")
 
 oracle("ingest_empty", FEED, """
-SELECT flight_id, zone AS source_zone, altitude, on_ground::BIGINT AS on_ground
-FROM feed JOIN zones ON zone = 'nowhere'
- AND latitude BETWEEN y2 AND y1 AND longitude BETWEEN x1 AND x2""")
+SELECT 'full' AS landing, count(DISTINCT flight_id) AS flights, 1::BIGINT AS zones
+FROM feed WHERE obs_part % 83 <> 0 AND obs_part % 89 <> 0
+UNION ALL SELECT 'empty', 0, 0 UNION ALL SELECT 'missing', 0, 0""")
 
 oracle("coerce_numeric", FEED, f"""
 SELECT {KEY},
@@ -314,7 +315,7 @@ oracle("manufacturer", FEED, f"SELECT {KEY}, aircraft_code, {MANUFACTURER} AS ma
 oracle("haversine", SMALL + """,
 ends AS (
   SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, lat AS lat2, lon AS lon2,
-    CASE WHEN NOT (l_linenumber = 7 AND l_partkey % 5 = 0) THEN (l_quantity - 25) * 3.6e0 END AS lat1,
+    CASE WHEN NOT (l_linenumber = 7 AND l_partkey % 5 = 0) AND l_partkey % 97 <> 0 THEN (l_quantity - 25) * 3.6e0 END AS lat1,
     (l_suppkey % 360 - 180)::DOUBLE AS lon1
   FROM lineitem LEFT JOIN supplier ON l_suppkey = s_suppkey LEFT JOIN airports ON nk = s_nationkey)""",
        f"""
@@ -364,6 +365,14 @@ oracle("quality_report", FLAGS + ", counted AS (SELECT count(*) AS total_rows, "
        "count(*) FILTER (is_valid) AS valid_rows FROM bronze)",
        "SELECT total_rows, valid_rows, flag, \"count\" FROM counted CROSS JOIN flags")
 
+oracle("quality_report_json", FLAGS + f", counted AS (SELECT {PROFILE} FROM bronze)", f"""
+SELECT total_rows, valid_rows, on_ground, on_flight, {pct('valid_rows', 'total_rows')} AS pct_valid,
+  flag, "count" FROM counted CROSS JOIN flags""")
+
+oracle("batch_retry", "", """
+SELECT n AS extracted_rows, n AS bronze_rows
+FROM (SELECT count(*) AS n FROM lineitem) CROSS JOIN (SELECT unnest([1, 2]))""")
+
 CARDINALITY = """
 count(DISTINCT airline_icao) AS unique_airlines, count(DISTINCT aircraft_code) AS unique_aircraft"""
 

@@ -21,7 +21,7 @@ from skytally.operators.enrich import derive_columns, fill_from_dimensions
 from skytally.operators.pick import latest_per_flight
 from skytally.operators.quality import flag_quality
 from skytally.plans import runs as run_plans
-from skytally.plans.batch import replay, run_batch
+from skytally.plans.batch import RunSettings, replay, run_batch
 from skytally.plans.gold import gold_tables
 from skytally.plans.silver import silver_fact
 from skytally.schema import FLIGHTS_RAW, LABEL_COLUMNS
@@ -139,8 +139,18 @@ def collect_zones(spark, sf_dir):
 
 @query
 def ingest_empty(spark, sf_dir):
-    collected = zones.union_zones(bridge.feed(spark, sf_dir), ZONES, ["nowhere"])
-    return collected.select("flight_id", "source_zone", "altitude", "on_ground")
+    """One zone landed, a root where none has landed, and a root that is not there."""
+    lines = bridge.landed_feed_lines(spark, sf_dir)
+    full, empty = scratch_path(spark, "feed"), scratch_path(spark, "feed")
+    lines.withColumn("zone", F.lit("north")).write.partitionBy("zone").text(full)
+    lines.where(F.lit(False)).write.text(empty)
+
+    def counts(landing: str, root: str) -> DataFrame:
+        flights = feeds.collect_zones(spark, root, ["north", "nowhere"], RUN_TS, "B1")
+        return flights.agg(F.lit(landing).alias("landing"), F.count("flight_id").alias("flights"),
+                           F.count_distinct("source_zone").alias("zones"))
+    return counts("full", full).unionByName(counts("empty", empty)).unionByName(
+        counts("missing", f"{full}-missing"))
 
 
 @query
@@ -341,7 +351,8 @@ def haversine(spark, sf_dir):
     rows = bridge.table(spark, sf_dir, "lineitem").join(
         bridge.table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"), "left")
     lat = F.when(~((F.col("l_linenumber") == 7) & (F.col("l_partkey") % 5 == 0)),
-                 (F.col("l_quantity") - 25) * 3.6)
+                 F.when(F.col("l_partkey") % 97 == 0, F.lit(float("nan")))
+                 .otherwise((F.col("l_quantity") - 25) * 3.6))
     lon = (F.col("l_suppkey") % 360 - 180).cast("double")
     return rows.select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
@@ -556,6 +567,28 @@ def batch_run(spark, sf_dir):
     return summary({name: spark.read.parquet(lake.gold(name)) for name in kpis.KPIS})
 
 
+@query
+def batch_retry(spark, sf_dir):
+    """The same batch run twice, as after a failure behind Bronze: rows stay as they were."""
+    lake = new_lake(spark)
+    observations = bridge.feed(spark, sf_dir).drop(*TIE_BREAK)
+    for _ in range(2):
+        run_batch(observations, lake, RUN_TS, "B1", settings=RunSettings(load_silver_gold=False))
+    bronze = read_bronze(spark, lake).agg(F.count("*").alias("bronze_rows"))
+    runs = run_sources.read_run_metrics(spark, lake.run_metrics)
+    return runs.select(F.col("extraction.rows").alias("extracted_rows")).crossJoin(F.broadcast(bronze))
+
+
+@query
+def quality_report_json(spark, sf_dir):
+    """The quality report as its JSON file has it."""
+    lake = new_lake(spark)
+    report = reports.quality_report(stored_flags(spark, sf_dir))
+    reports.write_quality_report(report, lake, RUN_TS)
+    return spark.read.schema(report.schema).json(lake.quality_report(RUN_TS)).select(
+        "total_rows", "valid_rows", "on_ground", "on_flight", "pct_valid", F.inline("top_flags"))
+
+
 @query
 def kpi_row_counts(spark, sf_dir):
     facts = stored(silver(spark, sf_dir), "silver")

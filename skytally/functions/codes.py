@@ -7,9 +7,6 @@ from datetime import datetime, timezone
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_LABEL_PATTERNS = {
-    "tech_year": "yyyy", "tech_month": "yyyy-MM", "tech_day": "yyyy-MM-dd", "tech_hour": "HH",
-}
 _LABEL_STRFTIME = {
     "tech_year": "%Y", "tech_month": "%Y-%m", "tech_day": "%Y-%m-%d", "tech_hour": "%H",
 }
@@ -52,19 +49,68 @@ def to_int(value: Column) -> Column:
     return value.try_cast("int")
 
 
+def json_to_int(value: Column) -> Column:
+    """A JSON value (VARIANT) to int: text by ``to_int``, numbers truncated, true is 1."""
+    text = F.try_variant_get(value, "$", "string")
+    number = F.try_variant_get(value, "$", "int")
+    return F.when(F.schema_of_variant(value) == "STRING", to_int(text)).otherwise(number)
+
+
 def count_when(condition: Column) -> Column:
     """Number of rows meeting the condition; NULL counts as not met."""
     return F.count_if(condition)
 
 
 def percent(part: Column, whole: Column, digits: int = 1) -> Column:
-    """``part / whole * 100`` with ties to even, and 0 when the whole is 0."""
-    return F.bround(F.when(whole > 0, part / whole * 100).otherwise(F.lit(0.0)), digits)
+    """``part / whole * 100`` rounded like Python's ``round``, and 0 when the whole is 0.
+
+    That is the nearest decimal to the binary value, an exact tie going to the even digit;
+    ``bround`` would round its shortest decimal spelling.
+    """
+    value = F.when(whole > 0, part / whole * 100).otherwise(F.lit(0.0))
+    return round_binary(value, digits)
+
+
+def round_binary(value: Column, digits: int) -> Column:
+    """Round a non-negative double of moderate size half to even by its exact binary value.
+
+    The distance to the decimal midpoint is computed without rounding: the value is split into
+    leading bits and the rest, whose multiples are both exact, so the sign of their sum is too.
+    """
+    scale = 10 ** digits
+    low = F.floor(value * scale)
+    # the product may have been rounded across a whole number
+    down = F.when(low / scale > value, low - 1).when((low + 1) / scale <= value, low + 1).otherwise(low)
+    middle = down * 2 + 1
+    head = F.floor(value * (1 << 20)) / (1 << 20)
+    rest = value - head
+    gap = (head * (2 * scale) - middle) + rest * (2 * scale)
+    up = F.when(gap > 0, down + 1).when(gap < 0, down).otherwise(down + F.pmod(down, F.lit(2)))
+    return (up / scale).cast("double")
 
 
 def partition_labels(at: Column) -> dict[str, Column]:
-    """The four hourly partition labels of an instant (session time zone, i.e. UTC)."""
-    return {name: F.date_format(at, pattern) for name, pattern in _LABEL_PATTERNS.items()}
+    """The four hourly partition labels of an instant, in UTC whatever the session's zone."""
+    day = utc_date(at).cast("string")
+    hour = F.floor(F.pmod(F.unix_seconds(at), F.lit(86_400)) / 3600).cast("int")
+    return dict(zip(_LABEL_STRFTIME, (
+        F.substring(day, 1, 4), F.substring(day, 1, 7), day, F.lpad(hour.cast("string"), 2, "0"),
+    ), strict=True))
+
+
+def utc_date(at: Column) -> Column:
+    """The UTC calendar day of a timestamp."""
+    return F.date_from_unix_date(F.floor(F.unix_seconds(at) / 86_400).cast("int"))
+
+
+def utc_iso(at: Column) -> Column:
+    """A timestamp as ISO text with microseconds, in UTC whatever the session's zone."""
+    micros = F.pmod(F.unix_micros(at), F.lit(86_400_000_000))
+    second = F.floor(micros / 1_000_000).cast("int")
+    return F.when(at.isNotNull(), F.format_string(
+        "%sT%02d:%02d:%02d.%06d", utc_date(at).cast("string"), F.floor(second / 3600).cast("int"),
+        F.floor(F.pmod(second, F.lit(3600)) / 60).cast("int"), F.pmod(second, F.lit(60)),
+        F.pmod(micros, F.lit(1_000_000)).cast("int")))
 
 
 def partition_label_path(run_ts: datetime) -> str:

@@ -84,16 +84,17 @@ def quality_profile(flagged: DataFrame, *by: str, min_pct_valid: float = MIN_PCT
     An empty input has an empty profile (no row).
     """
     measures = [measure.alias(name) for name, measure in profile_measures().items()]
+    return with_shares(flagged.groupBy(*by).agg(*measures), min_pct_valid)
+
+
+def with_shares(counters: DataFrame, min_pct_valid: float = MIN_PCT_VALID) -> DataFrame:
+    """Add shares and the low-quality verdict to the counters; rows that count nothing go."""
     total, valid = F.col("total_rows"), F.col("valid_rows")
-    return (
-        flagged.groupBy(*by).agg(*measures)
-        .where(total > 0)
-        .withColumns({
-            "pct_valid": percent(valid, total),
-            "pct_on_ground": percent(F.col("on_ground"), total),
-            "low_quality": valid / total * 100 < min_pct_valid,
-        })
-    )
+    return counters.where(total > 0).withColumns({
+        "pct_valid": percent(valid, total),
+        "pct_on_ground": percent(F.col("on_ground"), total),
+        "low_quality": valid / total * 100 < min_pct_valid,
+    })
 
 
 def flag_counts(flagged: DataFrame, *by: str) -> DataFrame:

@@ -6,23 +6,22 @@ import logging
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from skytally.functions import instant, partition_labels
 from skytally.layout import Lake
 from skytally.operators.dimensions import choose_dimensions, row_counts
 from skytally.operators.profile import dimension_cardinality
 from skytally.operators.quality import MIN_PCT_VALID, flag_quality
-from skytally.plans.gold import load_gold
+from skytally.plans.gold import concurrently, load_gold
 from skytally.plans.runs import SLA_MINUTES, alert_documents, run_documents
 from skytally.plans.silver import silver_fact
-from skytally.session import scratch_path
 from skytally.sinks.lake import label_hours, write_bronze, write_dimension, write_fact
 from skytally.sinks.reports import (
     quality_report, write_alerts, write_quality_report, write_run_metrics,
 )
-from skytally.sources.lake import read_bronze
+from skytally.schema import BRONZE, LABEL_COLUMNS
+from skytally.sources.lake import read_bronze, read_hour
 
 log = logging.getLogger(__name__)
 
@@ -56,13 +55,16 @@ def _load_dimensions(
 ) -> dict[str, int]:
     """Write the dimensions derived from the fact; supplied ones are already stored."""
     supplied = {"dim_airports": airports, "dim_airlines": airlines}
-    written = {}
-    for name, table in choose_dimensions(silver, run_ts, airports, airlines).items():
-        if supplied.get(name) is None:
-            path = lake.dimension(name)
-            write_dimension(table, path)
-            written[name] = silver.sparkSession.read.parquet(path)
-    return _counts(written)
+
+    def write(name: str, table: DataFrame) -> DataFrame:
+        write_dimension(table, lake.dimension(name))
+        return silver.sparkSession.read.parquet(lake.dimension(name))
+
+    return _counts(concurrently(silver.sparkSession, {
+        name: lambda name=name, table=table: write(name, table)
+        for name, table in choose_dimensions(silver, run_ts, airports, airlines).items()
+        if supplied.get(name) is None
+    }))
 
 
 def load_silver_gold(
@@ -73,29 +75,35 @@ def load_silver_gold(
     """Silver fact, dimensions and KPIs of the given Bronze rows.
 
     Everything after the fact reads a written table, never a cache: an executor that is lost
-    costs a re-read, and each KPI scans only the columns it needs. With one hour in the data
-    that table is the fact itself, whose hour was just replaced. A replay leaves hours it does
-    not touch in the fact, so it stages its result in the shared scratch folder and reads that.
+    costs a re-read, and each KPI scans only the columns it needs. That table is the fact itself,
+    restricted to the hours just replaced: one hour is read as its folder; the hours of a replay
+    are noted while they are written (a set of labels, one entry per hour) and prune the fact,
+    so hours that a replay does not touch stay out.
     """
     spark = bronze.sparkSession
     silver = silver_fact(bronze, airports, airlines)
     schema = silver.schema
     if many_hours:
-        staged = scratch_path(spark, "silver")
-        silver.write.parquet(staged)
-        silver = spark.read.schema(schema).parquet(staged)
-        write_fact(silver, lake, many_hours=True)
+        seen = Observation()
+        write_fact(silver.observe(seen, F.collect_set(F.concat_ws("/", *LABEL_COLUMNS)).alias("hours")),
+                   lake, many_hours=True)
+        silver = _hours_of(spark, schema, lake, seen.get["hours"])
     else:
         write_fact(silver, lake)
-        labels = partition_labels(instant(run_ts))
-        silver = spark.read.schema(schema).parquet(lake.fact)
-        for name, label in labels.items():
-            silver = silver.where(F.col(name) == label)
+        silver = read_hour(spark, schema, lake.fact, run_ts)
     dim_counts = _load_dimensions(silver, lake, run_ts, airports, airlines)
     gold = load_gold(silver, lake, run_ts)
     return Loaded(silver, gold, dim_counts, _counts(gold))
 
 
+def _hours_of(spark: SparkSession, schema, lake: Lake, hours: list[str]) -> DataFrame:
+    """The fact's rows of the given hours (labels joined by slashes), pruned as partitions."""
+    if not hours:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(lake.fact).where(
+        F.concat_ws("/", *LABEL_COLUMNS).isin(hours))
+
+
 def replay(
     spark: SparkSession, lake: Lake, run_ts: datetime,
     airports: DataFrame | None = None, airlines: DataFrame | None = None,
@@ -122,9 +130,11 @@ def run_batch(
 ) -> bool:
     """One batch: flag, append to Bronze, profile, load Silver and Gold, report.
 
-    Bronze is written first; profile and Silver read the batch back from it, pruned to its
-    hour and ``batch_id``. No flights: the run fails with a warning. A Silver or Gold error
-    fails the run but keeps Bronze. Returns whether the run succeeded.
+    Bronze is written first; profile and Silver read the batch back from its hour's folder. A
+    batch that its hour holds already (a retry after a later step failed) is not appended again:
+    appends are committed as a whole, so what is there is complete. No flights: the run fails
+    with a warning. A Silver or Gold error fails the run but keeps Bronze. A report that cannot
+    be written is logged and does not change the outcome. Returns whether the run succeeded.
     """
     settings = settings or RunSettings()
     spark = observations.sparkSession
@@ -143,19 +153,26 @@ def run_batch(
     except Exception as error:  # noqa: BLE001 - recorded in the run document
         log.exception("batch %s failed", batch_id)
         note("errors", "batch_error", str(error), phase="pipeline")
-    _report(spark, report, started, lake, settings)
+    try:
+        _report(spark, report, started, lake, settings)
+    except Exception:  # noqa: BLE001 - a lost report is no lost batch
+        log.exception("report of batch %s not written", batch_id)
     return ok and not report["errors"]
 
 
 def _run(spark, observations, lake, run_ts, batch_id, airports, airlines, settings, started,
          report, note) -> bool:
     stamped = observations.withColumn("batch_id", F.lit(batch_id))
-    write_bronze(label_hours(flag_quality(stamped), run_ts), lake)
-    report["extraction_seconds"] = (_utcnow() - started).total_seconds()
 
-    bronze = read_bronze(spark, lake, batch_id=batch_id)
-    for name, label in partition_labels(instant(run_ts)).items():
-        bronze = bronze.where(F.col(name) == label)
+    def landed() -> DataFrame:
+        return read_hour(spark, BRONZE, lake.bronze, run_ts).where(F.col("batch_id") == batch_id)
+
+    if landed().isEmpty():
+        write_bronze(label_hours(flag_quality(stamped), run_ts), lake)
+    else:
+        log.info("batch %s is in Bronze already", batch_id)
+    report["extraction_seconds"] = (_utcnow() - started).total_seconds()
+    bronze = landed()
 
     quality = quality_report(bronze, settings.min_pct_valid)
     profile = quality.first()  # one row

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skytally.functions import percent
+from skytally.functions import percent, utc_iso
 from skytally.operators.quality import MIN_PCT_VALID
 from skytally.schema import DIMENSION_NAMES, KPI_NAMES, RUN_METRICS
 
@@ -32,7 +32,7 @@ def _kpi_rows(name: str) -> Column:
 
 
 def _iso(instant: str) -> Column:
-    return F.date_format(instant, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    return utc_iso(F.col(instant))
 
 
 def run_documents(measures: DataFrame) -> DataFrame:

@@ -63,9 +63,10 @@ CORRUPT = "_corrupt_record"
 
 _FEED_NAME = {bronze: feed for feed, bronze in FEED_RENAMES.items()}
 
-# The landed feed is read as text; conversion is a separate, tolerant step.
+# The landed feed is read as text, whole numbers as they stand (text, number or boolean);
+# conversion is a separate, tolerant step.
 FLIGHT_FEED = T.StructType(
-    [T.StructField(_FEED_NAME.get(f.name, f.name), STRING, True)
+    [T.StructField(_FEED_NAME.get(f.name, f.name), T.VariantType() if f.dataType == INT else STRING, True)
      for f in FLIGHTS_RAW if f.name not in STAMPED]
     + [T.StructField(CORRUPT, STRING, True)]
 )

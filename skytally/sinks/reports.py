@@ -7,22 +7,29 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skytally.operators.quality import MIN_PCT_VALID, flag_counts, quality_profile
+from skytally.operators.quality import MIN_PCT_VALID, profile_measures, quality_rules, with_shares
 from skytally.layout import Lake
 
 
 def quality_report(flagged: DataFrame, min_pct_valid: float = MIN_PCT_VALID) -> DataFrame:
     """The quality profile with the flag frequencies as one nested row; none for no rows.
 
-    The collected list holds one entry per flag, of which there are eight.
+    One scan: rows are counted per distinct flag list (at most 2^8 of them) with the profile's
+    counters as measures, and both results come from those groups.
     """
+    counters = profile_measures()
+    groups = flagged.groupBy("data_quality_flags").agg(*(m.alias(n) for n, m in counters.items()))
+    raised = F.split("data_quality_flags", ",")
+    flags = {f"flag_{flag}": flag for flag in quality_rules()}
+    sums = groups.agg(*(F.sum(n).alias(n) for n in counters), *(
+        F.coalesce(F.sum(F.when(F.array_contains(raised, flag), F.col("total_rows"))), F.lit(0)).alias(name)
+        for name, flag in flags.items()))
     # negated counts make the natural order "most frequent first, then by name"
-    ranked = F.array_sort(F.collect_list(F.struct((-F.col("count")).alias("neg"), "flag")))
+    ranked = F.array_sort(F.filter(
+        F.array(*(F.struct((-F.col(n)).alias("neg"), F.lit(f).alias("flag")) for n, f in flags.items())), lambda e: e["neg"] < 0))
     entries = F.transform(
-        ranked, lambda e: F.struct(e["flag"].alias("flag"), (-e["neg"]).alias("count")),
-    )
-    top = flag_counts(flagged).agg(entries.alias("top_flags")).scalar()
-    return quality_profile(flagged, min_pct_valid=min_pct_valid).withColumn("top_flags", top)
+        ranked, lambda e: F.struct(e["flag"].alias("flag"), (-e["neg"]).alias("count")))
+    return with_shares(sums, min_pct_valid).withColumn("top_flags", entries).drop(*flags)
 
 
 def write_quality_report(report: DataFrame, lake: Lake, run_ts: datetime) -> None:

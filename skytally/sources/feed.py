@@ -5,21 +5,27 @@ from __future__ import annotations
 from collections.abc import Iterable
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skytally.functions import instant, to_double, to_int
+from skytally.functions import instant, json_to_int, to_double
 from skytally.operators.zones import GLOBAL_ZONE, dedup_zones
 from skytally.schema import CORRUPT, FEED_RENAMES, FLIGHT_FEED, FLIGHTS_RAW, STAMPED
 
 _FEED_OF = {bronze: feed for feed, bronze in FEED_RENAMES.items()}
 
 
-def read_feed(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """Landed records as text columns; unreadable ones are kept in ``_corrupt_record``."""
+def read_feed(
+    spark: SparkSession, path: str, multi_line: bool = False, *more: T.StructField,
+) -> DataFrame:
+    """Landed records as text columns; unreadable ones are kept in ``_corrupt_record``.
+
+    ``more`` declares partition columns of the landing folder.
+    """
     return (
-        spark.read.schema(FLIGHT_FEED)
+        spark.read.schema(T.StructType([*FLIGHT_FEED, *more]))
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("multiLine", multi_line)
@@ -33,9 +39,16 @@ def read_zone_feeds(
     """Feeds landed per zone under ``zone=<name>`` directories, with a ``zone`` column.
 
     All wanted zones come out of one scan pruned to their directories. A zone without a
-    directory, or with an empty one, has no rows; that is not an error.
+    directory, or with an empty one, has no rows; that is not an error, and neither is a root
+    where no zone has landed anything yet.
     """
-    landed = read_feed(spark, root)
+    zone = T.StructField("zone", T.StringType(), True)
+    try:
+        landed = read_feed(spark, root, False, zone)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        landed = spark.createDataFrame([], T.StructType([*FLIGHT_FEED, zone]))
     return landed if wanted is None else landed.where(F.col("zone").isin(list(wanted)))
 
 
@@ -66,7 +79,7 @@ def _converted(field: T.StructField) -> Column:
     if isinstance(field.dataType, T.DoubleType):
         value = to_double(value)
     elif isinstance(field.dataType, T.IntegerType):
-        value = to_int(value)
+        value = json_to_int(value)
     return value.alias(field.name)
 
 

@@ -2,20 +2,48 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from skytally.functions import partition_label_path
 from skytally.schema import BRONZE, LABEL_COLUMNS
 from skytally.layout import Lake
 
 
+# Conditions that mean "nothing written there yet".
+_NO_TABLE = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+
 def read_snapshot(spark: SparkSession, path: str) -> DataFrame | None:
-    """A Parquet table, or None when there is none (yet) at that path."""
+    """A Parquet table, or None when there is none (yet) at that path; other errors surface."""
     try:
         return spark.read.parquet(path)
-    except AnalysisException:
-        return None
+    except AnalysisException as error:
+        if error.getCondition() in _NO_TABLE:
+            return None
+        raise
+
+
+def read_folder(spark: SparkSession, schema: T.StructType, root: str, folder: str) -> DataFrame:
+    """Some partition folders of a table, without listing the others. Missing ones have no rows.
+
+    ``folder`` is a path below ``root`` and may hold wildcards.
+    """
+    try:
+        return spark.read.schema(schema).option("basePath", root).parquet(f"{root}/{folder}")
+    except AnalysisException as error:
+        if error.getCondition() in _NO_TABLE:
+            return spark.createDataFrame([], schema)
+        raise
+
+
+def read_hour(spark: SparkSession, schema: T.StructType, root: str, run_ts: datetime) -> DataFrame:
+    """The folder of one run's hour."""
+    return read_folder(spark, schema, root, partition_label_path(run_ts))
 
 
 def read_bronze(
@@ -23,12 +51,14 @@ def read_bronze(
 ) -> DataFrame:
     """Bronze history under its declared schema.
 
-    ``day`` prunes to one ``tech_day`` directory set (a missing day has no rows); ``batch_id``
-    is pushed to the Parquet scan.
+    ``day`` (yyyy-MM-dd) reads the folders of one ``tech_day`` and lists no other (a missing day
+    has no rows); ``batch_id`` is pushed to the Parquet scan.
     """
-    bronze = spark.read.schema(BRONZE).parquet(lake.bronze)
-    if day is not None:
-        bronze = bronze.where(F.col("tech_day") == day)
+    if day is None:
+        bronze = spark.read.schema(BRONZE).parquet(lake.bronze)
+    else:
+        bronze = read_folder(spark, BRONZE, lake.bronze,
+                             f"tech_year={day[:4]}/tech_month={day[:7]}/tech_day={day}")
     if batch_id is not None:
         bronze = bronze.where(F.col("batch_id") == batch_id)
     return bronze

@@ -8,7 +8,7 @@ from collections import Counter
 from datetime import timedelta
 
 import pytest
-from conftest import RUN_TS
+from tests.conftest import RUN_TS
 
 from skytally.functions.reference import CONTINENT_OF_COUNTRY, MANUFACTURER_PREFIXES
 from skytally.operators.quality import flag_quality

@@ -1,0 +1,133 @@
+"""Ingest of every JSON spelling, retries, time zones, unknown coordinates, rounding, replay."""
+
+from __future__ import annotations
+
+import glob
+import os
+from datetime import datetime, timezone
+
+import pytest
+from pyspark.sql import functions as F
+
+from skytally.functions import great_circle_km, partition_labels, percent, utc_iso
+from skytally.layout import Lake
+from skytally.plans import batch
+from skytally.plans.batch import RunSettings, replay, run_batch
+from skytally.schema import BRONZE
+from skytally.sinks.reports import quality_report, write_quality_report
+from skytally.sources.feed import collect_zones, read_feed, to_observations
+from skytally.sources.lake import read_bronze, read_hour, read_snapshot
+from skytally.sources.runs import read_run_metrics
+from tests.conftest import RUN_TS
+
+SPELLINGS = {
+    "0": 0, "0.0": 0, "1.0": 1, "1.7": 1, "1e0": 1, "true": 1, "false": 0, '"1"': 1, '" 1 "': 1, '"1.0"': None,
+    '"x"': None, '"N/A"': None, '""': None, "null": None, "[1]": None, "1e300": None,
+}
+
+
+def test_on_ground_keeps_its_json_type(spark, tmp_path):
+    lines = [f'{{"id":"{i}","on_ground":{text}}}' for i, text in enumerate(SPELLINGS)] + ['{"id":"none"}']
+    (tmp_path / "feed.json").write_text("\n".join(lines))
+    rows = to_observations(read_feed(spark, str(tmp_path)), RUN_TS, "b").collect()
+    assert {r.flight_id: r.on_ground for r in rows} == {
+        **{str(i): want for i, want in enumerate(SPELLINGS.values())}, "none": None}
+
+
+def test_nothing_landed_is_an_empty_batch(spark, tmp_path):
+    (tmp_path / "landing").mkdir()
+    for root in ("landing", "not-there"):
+        batch_of = collect_zones(spark, str(tmp_path / root), ["europe"], RUN_TS, "b")
+        assert batch_of.count() == 0
+        lake = Lake(str(tmp_path / f"lake-{root}"))
+        assert not run_batch(batch_of, lake, RUN_TS, "b")
+        run = read_run_metrics(spark, lake.run_metrics).first()
+        assert run.warnings[0].type == "empty_extraction" and run.num_errors == 0
+
+
+def test_retry_after_a_failed_load_counts_once(spark, tmp_path, observations, monkeypatch):
+    lake, rows = Lake(str(tmp_path)), observations({"flight_id": "a"}, {"flight_id": "b"})
+
+    def broken(*args, **kwargs):
+        raise RuntimeError("no Silver today")
+    with monkeypatch.context() as patched:
+        patched.setattr(batch, "load_silver_gold", broken)
+        assert not run_batch(rows, lake, RUN_TS, "b1")
+    assert run_batch(rows, lake, RUN_TS, "b1")
+    assert run_batch(rows.limit(1), lake, RUN_TS, "b2")
+    runs = read_run_metrics(spark, lake.run_metrics)
+    assert sorted((r.batch_id, r.extraction.rows) for r in runs.collect()) == [("b1", 2), ("b1", 2), ("b2", 1)]
+    assert read_hour(spark, BRONZE, lake.bronze, RUN_TS).count() == 3
+
+
+def test_a_lost_report_is_no_lost_batch(tmp_path, observations, monkeypatch):
+    monkeypatch.setattr(batch, "write_run_metrics", lambda *a: (_ for _ in ()).throw(OSError("full")))
+    assert run_batch(observations(), Lake(str(tmp_path)), RUN_TS, "b1", settings=RunSettings(load_silver_gold=False))
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Kolkata"])
+def test_labels_do_not_follow_the_session_zone(spark, tmp_path, observations, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        at = F.lit(RUN_TS).cast("timestamp")
+        row = spark.range(1).select(utc_iso(at).alias("iso"), *(c.alias(n) for n, c in partition_labels(at).items())).first()
+        assert tuple(row) == ("2026-06-21T14:30:00.000000", "2026", "2026-06", "2026-06-21", "14")
+        old = F.lit(datetime(1969, 12, 31, 23, 5, tzinfo=timezone.utc)).cast("timestamp")
+        assert tuple(spark.range(1).select(*partition_labels(old).values()).first()) == ("1969", "1969-12", "1969-12-31", "23")
+        lake = Lake(str(tmp_path))
+        assert run_batch(observations(), lake, RUN_TS, "b1")
+        hours = {os.path.relpath(p, tmp_path).split("tech_hour=")[1][:2] for p in glob.glob(f"{tmp_path}/**/tech_hour=*", recursive=True)}
+        assert hours == {"14"}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_nan_coordinates_are_unknown(spark):
+    nan = float("nan")
+    rows = [(1, 10.0, 20.0, 30.0, 40.0), (2, nan, 20.0, 30.0, 40.0), (3, 10.0, nan, 30.0, 40.0), (4, 10.0, 20.0, nan, 40.0),
+            (5, 10.0, 20.0, 30.0, nan), (6, None, nan, 30.0, 40.0)]
+    df = spark.createDataFrame(rows, "i int, a double, b double, c double, d double")
+    got = {r.i: r.km for r in df.select("i", great_circle_km(*map(F.col, "abcd")).alias("km")).collect()}
+    assert got.pop(1) == pytest.approx(3041.1, abs=0.5) and set(got.values()) == {None}
+
+
+def test_percentages_round_like_python(spark):
+    fractions = spark.range(1, 4001).select(F.col("id").alias("n")).select("n", F.explode(F.sequence(F.lit(0), F.col("n"))).alias("k"))
+    odd = fractions.where("n % 8 = 0 or n in (1999, 2000, 3997)").select("k", "n", percent(F.col("k"), F.col("n")).alias("p")).toPandas()
+    wrong = [(k, n, p) for k, n, p in odd.itertuples(index=False) if p != round(k / n * 100, 1)]
+    assert not wrong
+    assert spark.range(1).select(percent(F.lit(1), F.lit(0))).first()[0] == 0
+
+
+def test_replay_leaves_nothing_in_the_scratch_folder(spark, tmp_path, observations, run_ts):
+    before = set(glob.glob("/tmp/skytally-*")) | set(glob.glob("/tmp/checkpoints/*"))
+    lake = Lake(str(tmp_path))
+    assert run_batch(observations(), lake, run_ts, "b1")
+    loaded = replay(spark, lake, run_ts)
+    assert loaded.silver.count() == 1
+    assert set(glob.glob("/tmp/skytally-*")) | set(glob.glob("/tmp/checkpoints/*")) == before
+
+
+def test_other_errors_than_no_table_surface(spark, tmp_path):
+    assert read_snapshot(spark, str(tmp_path / "none")) is None
+    (tmp_path / "empty").mkdir()
+    assert read_snapshot(spark, str(tmp_path / "empty")) is None
+    (tmp_path / "broken").mkdir()
+    (tmp_path / "broken" / "part.parquet").write_text("this is no Parquet file")
+    with pytest.raises(Exception, match="footer"):
+        read_snapshot(spark, str(tmp_path / "broken"))
+    assert read_bronze(spark, Lake(str(tmp_path)), day="2020-01-01").count() == 0
+
+
+def test_quality_report_scans_once_and_reads_back(spark, tmp_path, observations, run_ts):
+    lake = Lake(str(tmp_path))
+    run_batch(observations({"flight_id": "a"}, {"flight_id": "b", "origin_iata": None, "altitude": -5.0},
+                           {"flight_id": "c", "origin_iata": ""}), lake, run_ts, "b1", settings=RunSettings(load_silver_gold=False))
+    report = quality_report(read_bronze(spark, lake))
+    assert report._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 1
+    row = report.first()
+    assert (row.total_rows, row.valid_rows) == (3, 1)
+    assert [(e.flag, e["count"]) for e in row.top_flags] == [("MISSING_ORIGIN", 2), ("INVALID_ALTITUDE", 1)]
+    write_quality_report(report, lake, run_ts)
+    assert spark.read.schema(report.schema).json(lake.quality_report(run_ts)).where("total_rows = 3").count() == 2

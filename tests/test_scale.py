@@ -8,7 +8,7 @@ import random
 from collections import Counter
 
 import pytest
-from conftest import RUN_TS
+from tests.conftest import RUN_TS
 from pyspark.sql import functions as F
 
 from checks.queries import QUERIES

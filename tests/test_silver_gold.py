@@ -3,7 +3,7 @@ from __future__ import annotations
 from datetime import timedelta
 
 import pytest
-from conftest import THREE_FLIGHTS, flight
+from tests.conftest import THREE_FLIGHTS, flight
 from pyspark.sql import functions as F
 
 from skytally.operators import kpis
