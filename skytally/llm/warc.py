@@ -5,12 +5,13 @@ record's header line; version 1 has five fields, version 2 ten. Records follow e
 their declared length alone. The converter reads both versions, and writes WARC/1.0 records
 with identifiers, timestamps, types and digests derived from what the header line and the
 payload hold, so converting again gives the same bytes. Archives are bounded volumes, each one
-row and one file, in a folder all executors share.
+row and one gzip file, in a folder all executors share.
 """
 
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import uuid
 from collections.abc import Iterator
@@ -154,13 +155,13 @@ def volumes(df: DataFrame, columns: list[str], record) -> DataFrame:
 
 
 def write_volumes(packed: DataFrame, path: str, end: str) -> None:
-    """One file per row, the row's bytes and ``end``; Spark's text writer keeps the bytes as they are."""
+    """One gzip file per row, the row's bytes and ``end``; Spark's text writer keeps the bytes as they are."""
     (packed.select(F.col("content").cast("string")).write.option("maxRecordsPerFile", 1)
-     .option("lineSep", end).text(path))
+     .option("lineSep", end).option("compression", "gzip").text(path))
 
 
 def read_volumes(spark: SparkSession, path: str, parse, schema: str) -> DataFrame:
-    """Rows of ``parse(content)`` over all volumes of a folder; a folder without files gives none."""
+    """Rows of ``parse(content)`` over all volumes of a folder, gzip or plain; no volumes give no rows."""
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string
     arrow = to_arrow_schema(_parse_datatype_string(schema))
@@ -168,6 +169,7 @@ def read_volumes(spark: SparkSession, path: str, parse, schema: str) -> DataFram
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for content in batch.column("content").to_pylist():
+                content = gzip.decompress(content) if content[:2] == b"\x1f\x8b" else content
                 if content.strip():
                     yield pa.RecordBatch.from_pylist(list(parse(content)), schema=arrow)
 

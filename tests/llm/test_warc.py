@@ -1,3 +1,4 @@
+import gzip
 from datetime import datetime, timezone
 
 import pytest
@@ -58,7 +59,7 @@ def test_written_files_follow_the_format(spark):
     arc, out = scratch_path(spark, "arc"), scratch_path(spark, "warc")
     warc.write_arc(pages.coalesce(1), arc, WHEN)
     warc.convert(spark, arc, out)
-    files = [bytes(r.content) for r in spark.read.format("binaryFile").load(out).collect()]
+    files = [gzip.decompress(r.content) for r in spark.read.format("binaryFile").load(out).collect()]
     records = [r for f in files for r in warc.parse_warc(f)]
     assert [f["WARC-Type"] for f, _ in records if f["WARC-Type"] != "warcinfo"].count("revisit") == 1
     named = {f["WARC-Record-ID"] for f, _ in records}
