@@ -27,193 +27,193 @@ CONTINENT_NAMES = {
     "OC": "Oceania", "SA": "South America", UNKNOWN: "Unknown",
 }
 
-# ISO code and country name, one per line. A code may have several names.
-COUNTRY_NAMES = """
-AL Albania
-AD Andorra
-AT Austria
-BY Belarus
-BE Belgium
-BA Bosnia and Herzegovina
-BG Bulgaria
-HR Croatia
-CY Cyprus
-CZ Czech Republic
-CZ Czechia
-DK Denmark
-EE Estonia
-FI Finland
-FR France
-DE Germany
-GR Greece
-HU Hungary
-IS Iceland
-IE Ireland
-IT Italy
-LV Latvia
-LI Liechtenstein
-LT Lithuania
-LU Luxembourg
-MT Malta
-MD Moldova
-MC Monaco
-ME Montenegro
-NL Netherlands
-MK North Macedonia
-MK Macedonia
-NO Norway
-PL Poland
-PT Portugal
-RO Romania
-RU Russia
-RU Russian Federation
-SM San Marino
-RS Serbia
-SK Slovakia
-SI Slovenia
-ES Spain
-SE Sweden
-CH Switzerland
-UA Ukraine
-GB United Kingdom
-CA Canada
-US United States
-US United States of America
-MX Mexico
-GT Guatemala
-BZ Belize
-SV El Salvador
-HN Honduras
-NI Nicaragua
-CR Costa Rica
-PA Panama
-CU Cuba
-DO Dominican Republic
-HT Haiti
-JM Jamaica
-BS Bahamas
-TT Trinidad and Tobago
-PR Puerto Rico
-AR Argentina
-BO Bolivia
-BR Brazil
-CL Chile
-CO Colombia
-EC Ecuador
-GY Guyana
-PY Paraguay
-PE Peru
-SR Suriname
-UY Uruguay
-VE Venezuela
-AF Afghanistan
-AM Armenia
-AZ Azerbaijan
-BH Bahrain
-BD Bangladesh
-BT Bhutan
-BN Brunei
-KH Cambodia
-CN China
-GE Georgia
-IN India
-ID Indonesia
-IR Iran
-IQ Iraq
-IL Israel
-JP Japan
-JO Jordan
-KZ Kazakhstan
-KW Kuwait
-KG Kyrgyzstan
-LA Laos
-LB Lebanon
-MY Malaysia
-MV Maldives
-MN Mongolia
-MM Myanmar
-NP Nepal
-KP North Korea
-OM Oman
-PK Pakistan
-PH Philippines
-QA Qatar
-SA Saudi Arabia
-SG Singapore
-KR South Korea
-LK Sri Lanka
-SY Syria
-TW Taiwan
-TJ Tajikistan
-TH Thailand
-TR Turkey
-TM Turkmenistan
-AE United Arab Emirates
-UZ Uzbekistan
-VN Vietnam
-YE Yemen
-HK Hong Kong
-MO Macau
-DZ Algeria
-AO Angola
-BJ Benin
-BW Botswana
-BF Burkina Faso
-BI Burundi
-CM Cameroon
-CV Cape Verde
-TD Chad
-CG Congo
-CD Democratic Republic of the Congo
-CI Ivory Coast
-DJ Djibouti
-EG Egypt
-ER Eritrea
-ET Ethiopia
-GA Gabon
-GM Gambia
-GH Ghana
-GN Guinea
-KE Kenya
-LS Lesotho
-LR Liberia
-LY Libya
-MG Madagascar
-MW Malawi
-ML Mali
-MR Mauritania
-MU Mauritius
-MA Morocco
-MZ Mozambique
-NA Namibia
-NE Niger
-NG Nigeria
-RW Rwanda
-SN Senegal
-SC Seychelles
-SL Sierra Leone
-SO Somalia
-ZA South Africa
-SS South Sudan
-SD Sudan
-TZ Tanzania
-TG Togo
-TN Tunisia
-UG Uganda
-ZM Zambia
-ZW Zimbabwe
-AU Australia
-FJ Fiji
-KI Kiribati
-NZ New Zealand
-PG Papua New Guinea
-WS Samoa
-SB Solomon Islands
-TO Tonga
-VU Vanuatu
-NC New Caledonia
-PF French Polynesia
-"""
+# Country name and ISO code. A code may have several names.
+CODE_OF_COUNTRY_NAME = {
+    "Albania": "AL",
+    "Andorra": "AD",
+    "Austria": "AT",
+    "Belarus": "BY",
+    "Belgium": "BE",
+    "Bosnia and Herzegovina": "BA",
+    "Bulgaria": "BG",
+    "Croatia": "HR",
+    "Cyprus": "CY",
+    "Czech Republic": "CZ",
+    "Czechia": "CZ",
+    "Denmark": "DK",
+    "Estonia": "EE",
+    "Finland": "FI",
+    "France": "FR",
+    "Germany": "DE",
+    "Greece": "GR",
+    "Hungary": "HU",
+    "Iceland": "IS",
+    "Ireland": "IE",
+    "Italy": "IT",
+    "Latvia": "LV",
+    "Liechtenstein": "LI",
+    "Lithuania": "LT",
+    "Luxembourg": "LU",
+    "Malta": "MT",
+    "Moldova": "MD",
+    "Monaco": "MC",
+    "Montenegro": "ME",
+    "Netherlands": "NL",
+    "North Macedonia": "MK",
+    "Macedonia": "MK",
+    "Norway": "NO",
+    "Poland": "PL",
+    "Portugal": "PT",
+    "Romania": "RO",
+    "Russia": "RU",
+    "Russian Federation": "RU",
+    "San Marino": "SM",
+    "Serbia": "RS",
+    "Slovakia": "SK",
+    "Slovenia": "SI",
+    "Spain": "ES",
+    "Sweden": "SE",
+    "Switzerland": "CH",
+    "Ukraine": "UA",
+    "United Kingdom": "GB",
+    "Canada": "CA",
+    "United States": "US",
+    "United States of America": "US",
+    "Mexico": "MX",
+    "Guatemala": "GT",
+    "Belize": "BZ",
+    "El Salvador": "SV",
+    "Honduras": "HN",
+    "Nicaragua": "NI",
+    "Costa Rica": "CR",
+    "Panama": "PA",
+    "Cuba": "CU",
+    "Dominican Republic": "DO",
+    "Haiti": "HT",
+    "Jamaica": "JM",
+    "Bahamas": "BS",
+    "Trinidad and Tobago": "TT",
+    "Puerto Rico": "PR",
+    "Argentina": "AR",
+    "Bolivia": "BO",
+    "Brazil": "BR",
+    "Chile": "CL",
+    "Colombia": "CO",
+    "Ecuador": "EC",
+    "Guyana": "GY",
+    "Paraguay": "PY",
+    "Peru": "PE",
+    "Suriname": "SR",
+    "Uruguay": "UY",
+    "Venezuela": "VE",
+    "Afghanistan": "AF",
+    "Armenia": "AM",
+    "Azerbaijan": "AZ",
+    "Bahrain": "BH",
+    "Bangladesh": "BD",
+    "Bhutan": "BT",
+    "Brunei": "BN",
+    "Cambodia": "KH",
+    "China": "CN",
+    "Georgia": "GE",
+    "India": "IN",
+    "Indonesia": "ID",
+    "Iran": "IR",
+    "Iraq": "IQ",
+    "Israel": "IL",
+    "Japan": "JP",
+    "Jordan": "JO",
+    "Kazakhstan": "KZ",
+    "Kuwait": "KW",
+    "Kyrgyzstan": "KG",
+    "Laos": "LA",
+    "Lebanon": "LB",
+    "Malaysia": "MY",
+    "Maldives": "MV",
+    "Mongolia": "MN",
+    "Myanmar": "MM",
+    "Nepal": "NP",
+    "North Korea": "KP",
+    "Oman": "OM",
+    "Pakistan": "PK",
+    "Philippines": "PH",
+    "Qatar": "QA",
+    "Saudi Arabia": "SA",
+    "Singapore": "SG",
+    "South Korea": "KR",
+    "Sri Lanka": "LK",
+    "Syria": "SY",
+    "Taiwan": "TW",
+    "Tajikistan": "TJ",
+    "Thailand": "TH",
+    "Turkey": "TR",
+    "Turkmenistan": "TM",
+    "United Arab Emirates": "AE",
+    "Uzbekistan": "UZ",
+    "Vietnam": "VN",
+    "Yemen": "YE",
+    "Hong Kong": "HK",
+    "Macau": "MO",
+    "Algeria": "DZ",
+    "Angola": "AO",
+    "Benin": "BJ",
+    "Botswana": "BW",
+    "Burkina Faso": "BF",
+    "Burundi": "BI",
+    "Cameroon": "CM",
+    "Cape Verde": "CV",
+    "Chad": "TD",
+    "Congo": "CG",
+    "Democratic Republic of the Congo": "CD",
+    "Ivory Coast": "CI",
+    "Djibouti": "DJ",
+    "Egypt": "EG",
+    "Eritrea": "ER",
+    "Ethiopia": "ET",
+    "Gabon": "GA",
+    "Gambia": "GM",
+    "Ghana": "GH",
+    "Guinea": "GN",
+    "Kenya": "KE",
+    "Lesotho": "LS",
+    "Liberia": "LR",
+    "Libya": "LY",
+    "Madagascar": "MG",
+    "Malawi": "MW",
+    "Mali": "ML",
+    "Mauritania": "MR",
+    "Mauritius": "MU",
+    "Morocco": "MA",
+    "Mozambique": "MZ",
+    "Namibia": "NA",
+    "Niger": "NE",
+    "Nigeria": "NG",
+    "Rwanda": "RW",
+    "Senegal": "SN",
+    "Seychelles": "SC",
+    "Sierra Leone": "SL",
+    "Somalia": "SO",
+    "South Africa": "ZA",
+    "South Sudan": "SS",
+    "Sudan": "SD",
+    "Tanzania": "TZ",
+    "Togo": "TG",
+    "Tunisia": "TN",
+    "Uganda": "UG",
+    "Zambia": "ZM",
+    "Zimbabwe": "ZW",
+    "Australia": "AU",
+    "Fiji": "FJ",
+    "Kiribati": "KI",
+    "New Zealand": "NZ",
+    "Papua New Guinea": "PG",
+    "Samoa": "WS",
+    "Solomon Islands": "SB",
+    "Tonga": "TO",
+    "Vanuatu": "VU",
+    "New Caledonia": "NC",
+    "French Polynesia": "PF",
+}
 
 # Aircraft type-code prefix and manufacturer. The longest prefix wins.
 MANUFACTURER_PREFIXES = {
@@ -233,9 +233,7 @@ def name_key(name: str) -> str:
     return "".join(ch for ch in name.lower() if "a" <= ch <= "z")
 
 
-CODE_OF_NAME_KEY = {
-    name_key(line[3:]): line[:2] for line in COUNTRY_NAMES.strip().splitlines()
-}
+CODE_OF_NAME_KEY = {name_key(name): code for name, code in CODE_OF_COUNTRY_NAME.items()}
 
 
 def _literal_map(values: dict[str, str]) -> Column:

@@ -15,15 +15,14 @@ RUN_TS = datetime(2026, 6, 21, 14, 30, tzinfo=timezone.utc)
 
 VALID = {
     "extraction_timestamp": RUN_TS, "batch_id": "b1", "source_zone": "europe", "flight_id": "V1",
-    "callsign": "DAL1", "airline_icao": "DAL", "aircraft_code": "B737", "origin_iata": "CDG",
-    "destination_iata": "ORY", "latitude": 48.7, "longitude": 2.5, "altitude": 10000.0,
-    "ground_speed": 450.0, "heading": 90.0, "on_ground": 0, "vertical_speed": 0.0,
+    "callsign": "SAS77K", "airline_icao": "SAS", "aircraft_code": "AT76", "origin_iata": "BGO",
+    "destination_iata": "SVG", "latitude": 59.6, "longitude": 5.4, "altitude": 17250.0,
+    "ground_speed": 271.0, "heading": 184.0, "on_ground": 0, "vertical_speed": -320.0,
 }
 
 AIRPORT_SPOTS = {
-    "JFK": ("US", "United States", 40.6, -73.8), "LAX": ("US", "United States", 33.9, -118.4),
-    "ATL": ("US", "United States", 33.6, -84.4), "CDG": ("FR", "France", 49.0, 2.55),
-    "ORK": ("IE", "Ireland", 51.8, -8.5),
+    "YYC": ("CA", "Canada", 51.11, -114.02), "SEA": ("US", "United States", 47.45, -122.31),
+    "OSL": ("NO", "Norway", 60.19, 11.10), "SNN": ("IE", "Ireland", 52.70, -8.92),
 }
 
 
@@ -64,10 +63,11 @@ def flight(flight_id, airline, name, aircraft, origin, destination, **more):
     return {**row, **more}
 
 
-THREE_FLIGHTS = (
-    flight("F1", "DAL", "Delta", "B738", "JFK", "LAX"),
-    flight("F2", "DAL", "Delta", "B739", "ATL", "JFK"),
-    flight("F3", "AFR", "Air France", "A320", "CDG", "JFK"),
+FOUR_FLIGHTS = (
+    flight("H1", "ACA", "Air Canada", "E190", "YYC", "OSL"),   # 6,702.501 km
+    flight("H2", "SAS", "Scandinavian", "AT76", "OSL", "SNN"),  # 1,476.536 km
+    flight("H3", "SAS", "Scandinavian", "A20N", "OSL", "SEA"),  # 7,328.759 km
+    flight("H4", "SAS", "Scandinavian", "AT76", "SNN", "OSL"),
 )
 
 

@@ -12,7 +12,7 @@ from skytally.functions import (
 )
 from skytally.functions.codes import instant
 from skytally.functions.reference import (
-    CODE_OF_NAME_KEY, CONTINENT_NAMES, CONTINENT_OF_COUNTRY, COUNTRY_NAMES,
+    CODE_OF_COUNTRY_NAME, CODE_OF_NAME_KEY, CONTINENT_NAMES, CONTINENT_OF_COUNTRY,
 )
 from skytally.layout import Lake
 
@@ -28,9 +28,8 @@ def test_every_named_country_has_a_continent_with_a_name():
 
 
 def test_every_country_name_resolves(spark):
-    lines = COUNTRY_NAMES.strip().splitlines()
-    names = [line[3:] for line in lines] + [line[3:].upper().replace(" ", "-") for line in lines]
-    assert values(spark, country_code_of_name, names) == [line[:2] for line in lines] * 2
+    names = [*CODE_OF_COUNTRY_NAME, *(n.upper().replace(" ", "-") for n in CODE_OF_COUNTRY_NAME)]
+    assert values(spark, country_code_of_name, names) == list(CODE_OF_COUNTRY_NAME.values()) * 2
 
 
 def test_unknown_country_names_have_no_code(spark):

@@ -16,7 +16,7 @@ def measures(spark, **changes):
     start = datetime(2026, 6, 21, 14, 0, tzinfo=timezone.utc)
     row = {
         "batch_id": "r1", "started": start, "ended": start + timedelta(seconds=60.126),
-        "extraction_rows": 1000, "valid_rows": 950, "on_ground": 100, "on_flight": 300,
+        "extraction_rows": 640, "valid_rows": 480, "on_ground": 90, "on_flight": 310,
         "unique_airlines": 5, "kpi_rows": {"airline_volumes": 1, "kpi_longest_flight": 2, "bogus": 9},
         "errors": [], "warnings": [], **changes,
     }
@@ -40,8 +40,8 @@ def test_document(spark):
     assert doc.schema.names == RUN_METRICS.names
     row = doc.first()
     assert (row.status, row.num_errors, row.total_duration_seconds) == ("success", 0, 60.13)
-    assert (row.validation.invalid_rows, row.validation.pct_valid) == (50, 95.0)
-    assert row.analysis.pct_in_flight == 75.0
+    assert (row.validation.invalid_rows, row.validation.pct_valid) == (160, 75.0)
+    assert row.analysis.pct_in_flight == 77.5
     assert row.dimensions.dim_airlines.unique_count == 5
     assert row.dimensions.dim_countries_continents.unique_count == 0
     assert row.gold.kpi_airline_volumes.rows == 1
@@ -58,8 +58,8 @@ def test_an_error_fails_the_run(spark):
 @pytest.mark.parametrize(("changes", "sla", "expected"), [
     ({}, 30, []),
     ({"errors": [ERROR, ERROR]}, 30, [("CRITICAL", "pipeline_errors", "2 erreur(s) durant le batch")]),
-    ({"valid_rows": 500}, 30, [("WARNING", "low_data_quality", "Qualité 50.0% < seuil 70%")]),
-    ({"valid_rows": 700}, 30, []),
+    ({"valid_rows": 447}, 30, [("WARNING", "low_data_quality", "Qualité 69.8% < seuil 70%")]),
+    ({"valid_rows": 448}, 30, []),
     ({"extraction_rows": 0, "valid_rows": 0}, 30,
      [("WARNING", "empty_extraction", "Aucun vol extrait de l'API")]),
     ({}, 1, [("WARNING", "sla_breach", "Durée 60s > SLA 60s")]),
