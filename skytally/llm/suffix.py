@@ -32,8 +32,7 @@ from skytally.llm.common import as_bytes, stored
 
 GRAM = 24                 # bytes of an anchor
 CHUNK_BYTES = 1 << 19     # text whose anchors are computed at once
-GROUP_ROWS = 2_000        # different stretches of an anchor that one index takes
-GROUP_BYTES = 2 << 20
+GROUP_BYTES = 3 << 20     # different stretches of an anchor that one index takes
 INDEX_BYTES = 1 << 20     # anchors' groups are indexed together up to this size
 PACKED = 7                # symbols of nine bits in a 64-bit word
 NO_ID = -(1 << 63)        # stands for a null doc_id in joins; texts are told apart by their hash
@@ -168,7 +167,7 @@ def settle_groups(rows: DataFrame) -> DataFrame:
             classes = np.flatnonzero(np.concatenate([[True], np.diff(key[first]) != 0]))
             per_key = np.diff(np.append(classes, len(first)))
             size = np.add.reduceat(stop[first] - start[first], classes)
-            large = (per_key > GROUP_ROWS) | (size > GROUP_BYTES)
+            large = size > GROUP_BYTES
             kinds = np.repeat(np.where(large, COUNTED, INDEXED), per_key)
             unsettled = np.repeat(per_key > 1, per_key) | (kind[first] == SEVERAL) & (count == 1)
             if unsettled.any():
@@ -339,36 +338,95 @@ def index_groups(content: DataFrame, length: int) -> DataFrame:
             .sortWithinPartitions("key", "doc", "mark", "start").mapInArrow(run, MARK))
 
 
-def count_windows(content: DataFrame, length: int) -> DataFrame:
-    """Marks in groups too large for an index: windows counted by anchor and hash."""
+COUNTS = "bucket long, doc long, mark long, hashes binary, copies binary, docs binary, marks binary, starts binary"
+STARTS = "doc long, mark long, starts binary"
+
+
+def per_document(doc: np.ndarray, mark: np.ndarray, start: np.ndarray) -> Iterator[tuple[int, int, bytes]]:
+    """Window starts of each document in one row."""
+    order = np.lexsort((start, mark, doc))
+    doc, mark, start = doc[order], mark[order], start[order]
+    new = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (mark[1:] != mark[:-1])])) if len(doc) else []
+    for a, b in zip(new, [*new[1:], len(doc)], strict=True):
+        yield int(doc[a]), int(mark[a]), start[a:b].astype("<i8").tobytes()
+
+
+def count_windows(content: DataFrame, length: int, total: int) -> DataFrame:
+    """Repeated windows (as starts per document) of groups too large for an index.
+
+    Windows are counted by anchor and hash. A batch counts its own first and passes each different
+    window on once; windows travel packed, in as many buckets as ``total``, their number, asks for.
+    """
+    buckets = 1 + total // (1 << 19)
+
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for key, doc, known, start, copies, text in zip(*(batch.column(c).to_pylist() for c in (
-                    "key", "doc", "mark", "start", "copies", "content")), strict=True):
+            if not batch.num_rows:
+                continue
+            keys, hashes, counts = [], [], []
+            for key, text in zip(batch.column("key").to_pylist(), batch.column("content").to_pylist(), strict=True):
                 n = len(text) - length + 1
                 view = memoryview(text)
-                h = np.fromiter((xxhash.xxh3_64_intdigest(view[i:i + length]) for i in range(n)), np.uint64, n)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(n, key)), pa.array(h.view(np.int64)), pa.array(np.full(n, doc)), pa.array(np.full(n, known)),
-                     pa.array(np.arange(start, start + n)), pa.array(np.full(n, copies, np.int32))],
-                    names=["key", "hash", "doc", "mark", "start", "copies"])
-
-    each = stored(content.where(F.col("kind") == COUNTED).mapInArrow(
-        windows, "key long, hash long, doc long, mark long, start long, copies int"), "windows")
-    often = stored(each.groupBy("key", "hash").agg(F.sum("copies").alias("n")).where("n > 1").drop("n"), "repeated")
-    return each.join(often, ["key", "hash"]).select("doc", "mark", "start", (F.col("start") + length).alias("stop"))
+                seed = key & 0x7FFFFFFFFFFFFFFF
+                hashes.append(np.fromiter((xxhash.xxh3_64_intdigest(view[i:i + length], seed) for i in range(n)), np.uint64, n))
+                counts.append(n)
+                keys.append(np.arange(n))
+            h, n = np.concatenate(hashes), np.array(counts)
+            doc, mark = (np.repeat(batch.column(c).to_numpy(), n) for c in ("doc", "mark"))
+            start = np.repeat(batch.column("start").to_numpy(), n) + np.concatenate(keys)
+            copies = np.repeat(batch.column("copies").to_numpy(), n).astype(np.int64)
+            order = np.argsort(h, kind="stable")
+            h, doc, mark, start, copies = h[order], doc[order], mark[order], start[order], copies[order]
+            new = np.concatenate([[True], h[1:] != h[:-1]])
+            first = np.flatnonzero(new)
+            seen = np.add.reduceat(copies, first)
+            own = np.repeat(seen > 1, np.diff(np.append(first, len(h))))
+            rows = [(-1 - (d & 0xFFFF) % buckets, d, m, None, None, None, None, s) for d, m, s in per_document(doc[own], mark[own], start[own])]
+            bucket = (h[first] % np.uint64(buckets)).astype(np.int64)
+            for b in np.unique(bucket).tolist():
+                at = first[bucket == b]
+                rows.append((b, None, None, h[at].tobytes(), np.minimum(seen[bucket == b], 2).astype(np.uint8).tobytes(),
+                             doc[at].tobytes(), mark[at].tobytes(), start[at].tobytes()))
+            yield packed(rows)
+
+    def packed(rows: list[tuple]) -> pa.RecordBatch:
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.binary(), pa.binary())
+        names = ["bucket", "doc", "mark", "hashes", "copies", "docs", "marks", "starts"]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
+
+    def count(key: tuple, table: pa.Table) -> pa.Table:
+        if key[0].as_py() < 0:
+            return table.select(["doc", "mark", "starts"])
+        h, copies, doc, mark, start = (np.frombuffer(b"".join(table.column(c).to_pylist()), t) for c, t in (
+            ("hashes", np.uint64), ("copies", np.uint8), ("docs", np.int64), ("marks", np.int64), ("starts", np.int64)))
+        order = np.argsort(h, kind="stable")
+        first = np.flatnonzero(np.concatenate([[True], np.diff(h[order]) != 0]))
+        seen = np.add.reduceat(copies[order].astype(np.int64), first)
+        again = order[np.repeat(seen > 1, np.diff(np.append(first, len(h))))]
+        rows = list(per_document(doc[again], mark[again], start[again])) or [()] * 0
+        columns = list(zip(*rows, strict=True)) or [(), (), ()]
+        return pa.table({n: pa.array(c, t) for n, c, t in zip(
+            ("doc", "mark", "starts"), columns, (pa.int64(), pa.int64(), pa.binary()), strict=True)})
+
+    return (content.where(F.col("kind") == COUNTED).mapInArrow(windows, COUNTS)
+            .groupBy("bucket").applyInArrow(count, STARTS))
 
 
 def mark_repeats(documents: DataFrame, length: int = 200) -> DataFrame:
-    """(doc, mark, start, stop): stretches of bytes covered by repeated ``length``-byte strings.
+    """(doc, mark, start, stop, starts): bytes covered by repeated ``length``-byte strings.
 
-    ``doc`` is the doc_id, ``mark`` a hash of the text; stretches of a document may overlap.
+    ``doc`` is the doc_id, ``mark`` a hash of the text; stretches of a document may overlap. A
+    row has either start and stop, or ``starts``, packed 64-bit starts of repeated strings.
     """
     docs = keyed(documents)
     found = stored(settle_groups(all_stretches(docs, length)), "stretches")
     content = stored(fetch_content(found, docs), "content")
-    return (found.where(F.col("kind") == COVERED).select("doc", "mark", "start", "stop")
-            .union(index_groups(content, length)).union(count_windows(content, length)))
+    total = found.where(F.col("kind") == COUNTED).agg(F.sum(F.col("stop") - F.col("start"))).first()[0] or 0
+    marks = found.where(F.col("kind") == COVERED).select("doc", "mark", "start", "stop").union(index_groups(content, length))
+    marks = marks.withColumn("starts", F.lit(None).cast("binary"))
+    if not total:
+        return marks
+    return marks.unionByName(count_windows(content, length, total), allowMissingColumns=True)
 
 
 def keyed(documents: DataFrame) -> DataFrame:
@@ -387,17 +445,20 @@ def remove_repeats(documents: DataFrame, length: int = 200) -> DataFrame:
     Repeated rows are copies of each other, so both are removed. An empty table gives no rows.
     """
     marks = stored(mark_repeats(documents, length), "marks")
-    lists = marks.groupBy("doc", "mark").agg(F.collect_set(F.struct("start", "stop")).alias("parts"))
+    lists = marks.groupBy("doc", "mark").agg(
+        F.collect_set(F.when(F.col("start").isNotNull(), F.struct("start", "stop"))).alias("parts"),
+        F.collect_list("starts").alias("starts"))
     kind = ("doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, "
             "spans array<struct<start:long,stop:long>>, kept binary")
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for doc, parts, text in zip(batch.column("doc_id").to_pylist(), batch.column("parts").to_pylist(),
-                                        as_bytes(batch.column("text")), strict=True):
+            for doc, parts, starts, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "parts", "starts")),
+                                                as_bytes(batch.column("text")), strict=True):
                 runs: list[list[int]] = []
-                for a, b in sorted((p["start"], p["stop"]) for p in parts or ()):
+                singles = np.unique(np.frombuffer(b"".join(starts or ()), "<i8"))
+                for a, b in sorted([(p["start"], p["stop"]) for p in parts or ()] + runs_of(singles, length)):
                     if runs and a <= runs[-1][1]:
                         runs[-1][1] = max(runs[-1][1], b)
                     else:
@@ -417,4 +478,4 @@ def remove_repeats(documents: DataFrame, length: int = 200) -> DataFrame:
                 names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans", "kept"])
 
     docs = keyed(documents).withColumn("doc_id", F.when(F.col("doc") != NO_ID, F.col("doc")))
-    return (docs.join(lists, ["doc", "mark"], "left").select("doc_id", "parts", "text").mapInArrow(remove, kind))
+    return (docs.join(lists, ["doc", "mark"], "left").select("doc_id", "parts", "starts", "text").mapInArrow(remove, kind))
