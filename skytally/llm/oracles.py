@@ -38,4 +38,50 @@ SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes,
 FROM p
 """
 
-ORACLES = {"op8_decontamination": OP8, "op9_warc": OP9}
+OP6 = f"""
+WITH RECURSIVE d AS (
+    SELECT doc_id, regexp_extract_all({LOWER.format('text')}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS MATERIALIZED (
+    SELECT DISTINCT doc_id, array_to_string(w[p:p + k - 1], ' ') AS g
+    FROM (SELECT doc_id, w, least(len(w), 3) AS k, unnest(range(1, len(w) - least(len(w), 3) + 2)) AS p
+          FROM d WHERE len(w) > 0)),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+c AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c
+      FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS MATERIALIZED (
+    SELECT x, y FROM c JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * c >= 90 * (a.n + b.n - c)),
+e AS MATERIALIZED (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+r AS (SELECT x, y FROM e UNION SELECT r.x, e.y FROM r JOIN e ON r.y = e.x),
+m AS (SELECT x, min(y) AS y FROM r GROUP BY x)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, least(d.doc_id, coalesce(m.y, d.doc_id)) AS component_id
+FROM d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN m ON m.x = d.doc_id
+"""
+
+OP10 = """
+WITH d AS MATERIALIZED (
+    SELECT doc_id, row_number() OVER () AS rid, hex(encode(coalesce(text, ''))) AS h FROM documents),
+p AS MATERIALIZED (
+    SELECT rid, p, md5_number(substr(h, CAST(2 * p + 1 AS INTEGER), 400)) AS k
+    FROM (SELECT rid, h, unnest(range(0, len(h) // 2 - 199)) AS p FROM d WHERE len(h) >= 400)),
+often AS (SELECT k FROM p GROUP BY k HAVING count(*) > 1),
+hit AS (SELECT rid, p FROM p SEMI JOIN often USING (k)),
+cut AS (SELECT rid, p, p - max(p) OVER (PARTITION BY rid ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS gap
+        FROM hit),
+runs AS MATERIALIZED (
+    SELECT rid, run, min(p) AS a, max(p) + 200 AS b
+    FROM (SELECT rid, p, sum(CASE WHEN gap <= 200 THEN 0 ELSE 1 END) OVER (PARTITION BY rid ORDER BY p) AS run FROM cut)
+    GROUP BY rid, run),
+parts AS (
+    SELECT rid, a, b, coalesce(lag(b) OVER w, 0) AS since, lead(a) OVER w IS NULL AS last FROM runs
+    WINDOW w AS (PARTITION BY rid ORDER BY a)),
+kept AS (
+    SELECT rid, count(*) AS n_spans, sum(b - a) AS n_removed, string_agg(
+        substr(h, CAST(2 * since + 1 AS INTEGER), CAST(2 * (a - since) AS INTEGER))
+        || CASE WHEN last THEN substr(h, CAST(2 * b + 1 AS INTEGER)) ELSE '' END, '' ORDER BY a) AS h
+    FROM parts JOIN d USING (rid) GROUP BY rid)
+SELECT doc_id, CAST(len(d.h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(kept.h, d.h))) AS kept_sha256
+FROM d LEFT JOIN kept USING (rid)
+"""
+
+ORACLES = {"op6_jaccard_join": OP6, "op8_decontamination": OP8, "op9_warc": OP9, "op10_suffix_dedup": OP10}

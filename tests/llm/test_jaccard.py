@@ -3,8 +3,9 @@ import pytest
 
 from skytally.llm import jaccard
 from skytally.llm.common import components
+from skytally.llm.oracles import ORACLES
 from skytally.llm.queries import op6_jaccard_join
-from tests.llm.conftest import SF_DIR
+from tests.llm.conftest import SF_DIR, agrees_with_sql
 
 
 def plain(texts, n, percent):
@@ -36,6 +37,10 @@ def found(df):
     return {r.doc_id: (r.n_shingles, r.component_id) for r in df.collect()}
 
 
+def test_query_agrees_with_sql(spark, tables):
+    agrees_with_sql(op6_jaccard_join, ORACLES["op6_jaccard_join"], spark, tables)
+
+
 def test_query_agrees_with_all_pairs(spark, texts):
     assert found(op6_jaccard_join(spark, SF_DIR)) == plain(texts, 3, 90)
 

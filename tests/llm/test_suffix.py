@@ -4,8 +4,9 @@ import numpy as np
 import pytest
 
 from skytally.llm import suffix
+from skytally.llm.oracles import ORACLES
 from skytally.llm.queries import op10_suffix_dedup
-from tests.llm.conftest import SF_DIR
+from tests.llm.conftest import SF_DIR, agrees_with_sql
 
 
 def plain(rows, length):
@@ -34,6 +35,10 @@ def found(df):
     return sorted((tuple(r[c] for c in ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")) for r in df.collect()), key=str)
 
 
+def test_query_agrees_with_sql(spark, tables):
+    agrees_with_sql(op10_suffix_dedup, ORACLES["op10_suffix_dedup"], spark, tables)
+
+
 def test_query_agrees_with_counting_all_strings(spark, texts):
     assert found(op10_suffix_dedup(spark, SF_DIR)) == plain(list(texts.items()), 200)
 
