@@ -563,13 +563,12 @@ FROM silver""")
 
 oracle("dim_snapshot", SILVER, """
 SELECT DISTINCT iata AS airport_iata, cc AS country_code, continent AS continent_code FROM airports
-WHERE iata IN (SELECT origin_iata FROM silver WHERE is_valid
-  UNION SELECT destination_iata FROM silver WHERE is_valid)""")
+WHERE iata IN (SELECT unnest([origin_iata, destination_iata]) FROM silver
+  WHERE is_valid AND origin_iata < 'E' AND destination_iata < 'E')""")
 
-oracle("gold_idempotent", GOLD, f"""
-SELECT *, {STAMP} AS computed_at, '2026' AS tech_year, '2026-06' AS tech_month,
-  '2026-06-21' AS tech_day, '14' AS tech_hour FROM kpi_airline_aircraft_top3""".replace(
-    STAMP, "'2026-06-21 14:30:00'"))
+oracle("gold_idempotent", GOLD, """
+SELECT *, '2026-06-21 14:30:00' AS computed_at, '2026' AS tech_year, '2026-06' AS tech_month,
+  '2026-06-21' AS tech_day, '14' AS tech_hour FROM kpi_airline_aircraft_top3""")
 
 # --- runs --------------------------------------------------------------------------------
 
@@ -617,7 +616,8 @@ SELECT batch_id, 'CRITICAL' AS severity, 'pipeline_errors' AS type,
 UNION ALL SELECT batch_id, 'WARNING', 'low_data_quality',
   printf('Qualité %.1f%% < seuil 70%%', pct_valid) FROM runs WHERE pct_valid < 70
 UNION ALL SELECT batch_id, 'WARNING', 'sla_breach', 'Durée ' || seconds || 's > SLA 1800s'
-FROM runs WHERE seconds > 1800""")
+FROM runs WHERE seconds > 1800
+UNION ALL SELECT 'B0', 'WARNING', 'empty_extraction', 'Aucun vol extrait de l''API'""")
 
 oracle("alert_documents", RUNS, """
 SELECT batch_id, end_time AS timestamp,
