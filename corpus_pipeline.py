@@ -33,7 +33,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     if not classes.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count():
         return kept
     first = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text")))
-    return kept.withColumn("n", first).where("n = 1 or doc_id is null").select(docs.columns)
+    return kept.withColumn("_row_of_id", first).where("_row_of_id = 1 or doc_id is null").select(docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,8 +42,8 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     matches = decontaminate.find_matches(
         decontaminate.build_index(keyed), read_table(spark, sf_dir, "benchmark"), slop=0)
     gone = stored(decontaminate.contamination(matches).where("contaminated")
-                  .select(F.col("doc_id").alias("gone")).distinct(), "contaminated")
-    return docs.join(gone, row_key() == F.col("gone"), "left_anti")
+                  .select(F.col("doc_id").alias("_contaminated_key")).distinct(), "contaminated")
+    return docs.join(gone, row_key() == F.col("_contaminated_key"), "left_anti")
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
