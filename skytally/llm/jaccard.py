@@ -29,6 +29,7 @@ from skytally.llm.common import as_bytes, components, stored
 SKETCH_BITS = 21         # counters of shingle frequencies, whatever the size of the corpus
 SKETCH_BLOCKS = 256
 SMALL_TILE = 16          # entries of a tile that gives all its pairs
+FLUSH_ROWS = 65_536      # entries whose tiles are compared at once
 SALT_ROWS = 1024         # expected entries of a part of a large tile
 BLOCK = 1024             # rows of a side when pairs across components are compared
 MEMBERS = 64             # texts compared with one copy of a pivot's text
@@ -61,8 +62,8 @@ def shingles(text: bytes, n: int, hashes: WordHashes) -> np.ndarray:
     k = min(n, len(h))
     out = np.full(len(h) - k + 1, k, np.uint64)
     for i in range(k):
-        out = mixed(out * np.uint64(0x9E3779B97F4A7C15) + h[i:len(h) - k + 1 + i])
-    return np.unique(out)
+        out = out * np.uint64(0x9E3779B97F4A7C15) + h[i:len(h) - k + 1 + i]
+    return np.unique(mixed(out))
 
 
 def bitmap(s: np.ndarray) -> bytes:
@@ -112,12 +113,16 @@ def bucket(s: np.ndarray) -> np.ndarray:
 def sketch(documents: DataFrame, n: int) -> np.ndarray:
     """How many documents hold a shingle of each bucket: 2^21 counters, added up block by block."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, counts = WordHashes(), np.zeros(1 << SKETCH_BITS, np.uint32)
+        hashes, counts, held, many = WordHashes(), np.zeros(1 << SKETCH_BITS, np.int64), [], 0
         for batch in batches:
             for t in as_bytes(batch.column("text")):
-                s = shingles(t, n, hashes)
-                if len(s):
-                    np.add.at(counts, bucket(s), 1)
+                held.append(bucket(shingles(t, n, hashes)).astype(np.int32))
+                many += len(held[-1])
+                if many > 2_000_000:
+                    counts += np.bincount(np.concatenate(held), minlength=len(counts))
+                    held, many = [], 0
+        if held:
+            counts += np.bincount(np.concatenate(held), minlength=len(counts))
         blocks = counts.reshape(SKETCH_BLOCKS, -1)
         used = np.flatnonzero(blocks.any(1))
         yield pa.RecordBatch.from_arrays(
@@ -186,10 +191,23 @@ def allowed(size: np.ndarray, position: np.ndarray, size2, position2, percent: i
     return (position <= size - o + 1) & (position2 <= size2 - o + 1)
 
 
-def tile_pairs(doc, size, position, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    i, j = np.triu_indices(len(doc), 1)
-    ok = allowed(size[i], position[i], size[j], position[j], percent) & (doc[i] != doc[j])
-    return doc[i[ok]], doc[j[ok]]
+def small_tile_pairs(tile, doc, size, position, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Different pairs of small tiles that may be similar; ``tile`` numbers the tiles, rows of one are adjacent."""
+    left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for step in range(1, min(SMALL_TILE, len(tile))):
+        i = np.flatnonzero(tile[:-step] == tile[step:])
+        if not len(i):
+            break
+        j = i + step
+        ok = allowed(size[i], position[i], size[j], position[j], percent) & (doc[i] != doc[j])
+        left.append(doc[i[ok]])
+        right.append(doc[j[ok]])
+    a, b = np.concatenate(left), np.concatenate(right)
+    a, b = np.minimum(a, b), np.maximum(a, b)
+    order = np.lexsort((b, a))
+    a, b = a[order], b[order]
+    new = np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])[:len(a)]
+    return a[new], b[new]
 
 
 def tile_stars(doc, size, position, percent: int):
@@ -224,11 +242,7 @@ def compare_tiles(entries: DataFrame, percent: int, again: bool = False) -> Data
              pa.array((zero if position is None else position).astype(np.int32))],
             names=["kind", "key", "doc", "other", "size", "position"])
 
-    def tile(key, salt, doc, size, position) -> Iterator[pa.RecordBatch]:
-        if len(doc) <= SMALL_TILE and not salt:
-            a, b = tile_pairs(doc, size, position, percent)
-            yield rows(0, key, a, b)
-            return
+    def large_tile(key, salt, doc, size, position) -> Iterator[pa.RecordBatch]:
         a, b, pivots = tile_stars(doc, size, position, percent)
         yield rows(0, key, a, b)
         if not again:
@@ -237,36 +251,39 @@ def compare_tiles(entries: DataFrame, percent: int, again: bool = False) -> Data
             yield rows(2, key, doc[pivots], None, size[pivots], position[pivots])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, made, many = [], [], 0
+        held, many = [], 0
 
         def flush(last: bool) -> Iterator[pa.RecordBatch]:
-            nonlocal held
-            cols = [np.concatenate(c) for c in zip(*held, strict=True)]
-            change = np.flatnonzero((np.diff(cols[0]) != 0) | (np.diff(cols[1]) != 0)) + 1
-            bounds = [0, *change.tolist(), len(cols[0])]
-            stop = len(bounds) - 1 if last else len(bounds) - 2
-            for k in range(stop):
-                if bounds[k + 1] - bounds[k] > 1 or cols[1][bounds[k]]:
-                    part = slice(bounds[k], bounds[k + 1])
-                    yield from tile(cols[0][part][0], cols[1][part][0], cols[2][part],
-                                    cols[3][part].astype(np.int64), cols[4][part].astype(np.int64))
-            held = [] if last else [tuple(c[bounds[-2]:] for c in cols)]
-
+            """Everything held but, while more may come, the tile at the end."""
+            nonlocal held, many
+            cols = [np.concatenate(c).astype(np.int64) for c in zip(*held, strict=True)]
+            first = np.flatnonzero(np.concatenate([[True], (np.diff(cols[0]) != 0) | (np.diff(cols[1]) != 0)]))
+            rows_each = np.diff(np.append(first, len(cols[0])))
+            tile = np.repeat(np.arange(len(first)), rows_each)
+            ready = np.ones(len(first), bool)
+            ready[-1] = last
+            small = ready & (rows_each <= SMALL_TILE) & (cols[1][first] == 0)
+            own = small[tile] & (rows_each[tile] > 1)
+            out = [rows(0, 0, *small_tile_pairs(tile[own], *(c[own] for c in cols[2:]), percent))]
+            for k in np.flatnonzero(ready & ~small).tolist():
+                part = slice(first[k], first[k] + rows_each[k])
+                out += large_tile(cols[0][first[k]], cols[1][first[k]], *(c[part] for c in cols[2:]))
+            out = [x for x in out if x.num_rows]
+            if out:
+                yield from pa.Table.from_batches(out).combine_chunks().to_batches()
+            held = [] if last else [tuple(c[first[-1]:] for c in cols)]
+            many = 0 if last else int(rows_each[-1])
+
+        grown = FLUSH_ROWS
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            held.append(tuple(batch.column(c).to_numpy() for c in ("key", "salt", "doc", "size", "position")))
-            for out in flush(False):
-                if out.num_rows:
-                    made.append(out)
-                    many += out.num_rows
-            if many > 10_000:
-                yield from pa.Table.from_batches(made).combine_chunks().to_batches()
-                made, many = [], 0
+            if batch.num_rows:
+                held.append(tuple(batch.column(c).to_numpy() for c in ("key", "salt", "doc", "size", "position")))
+                many += batch.num_rows
+            if many >= grown:
+                yield from flush(False)
+                grown = many + FLUSH_ROWS
         if held:
-            made += [out for out in flush(True) if out.num_rows]
-        if made:
-            yield from pa.Table.from_batches(made).combine_chunks().to_batches()
+            yield from flush(True)
 
     return (entries.repartition("key", "salt").sortWithinPartitions("key", "salt")
             .mapInArrow(run, FOUND))
