@@ -186,7 +186,8 @@ def pack(documents: DataFrame, size: int = SIZE, vocabulary: str = VOCABULARY) -
                      "ranks")
     counts = {r["length"]: r["n"] for r in offsets.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     table = documents.sparkSession.sparkContext.broadcast(places(plan_sequences(counts, size)))
-    ranked = cut_up.join(offsets.drop("n"), ["length", "task"]).select(
+    # as many offsets as tasks times lengths: no bound to broadcast them by
+    ranked = cut_up.join(offsets.drop("n").hint("merge"), ["length", "task"]).select(
         "doc_id", "piece", "start", "length", "ids_crc32", (F.col("local") + F.col("ahead")).alias("rank"))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
