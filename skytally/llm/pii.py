@@ -34,6 +34,8 @@ ROUNDS = 10          # message passing
 LEAST_PROBABILITY = 0.8
 LABELS = 1 + len(KINDS)
 OBSERVED = 30.0
+AGREE = 5.0             # prior count of equal labels on a skip link: repeats agree unless counts say otherwise
+GRAPH_TOKENS = 50_000   # tokens after which a graph of whole documents is closed
 
 
 def luhn(digits: str) -> bool:
@@ -134,18 +136,28 @@ def count_batch(batch: pa.RecordBatch) -> dict:
         if text and ("@" in text or HAS_DIGIT.search(text)):
             tokens, chain, skip = token_graph(text, base_spans(text))
             label = [t[3] for t in tokens]
-            # what repeats an observed token without matching itself has no known label
-            open_ones = {t for i, j in skip if (label[i] == 0) != (label[j] == 0) for t in (i, j) if not label[t]}
-            counts.update((0, t[2], t[3]) for n, t in enumerate(tokens) if n not in open_ones)
-            counts.update((1, label[i], label[j]) for i, j in chain if not open_ones & {i, j})
-            counts.update((2, *sorted((label[i], label[j]))) for i, j in skip if not open_ones & {i, j})
+            # what repeats an observed token without matching itself has no known label: its shape
+            # counts half for none, half for the label it repeats; all counts are doubled
+            open_ones = {t: max(label[i], label[j]) for i, j in skip if (label[i] == 0) != (label[j] == 0)
+                         for t in (i, j) if not label[t]}
+            for n, t in enumerate(tokens):
+                counts[0, t[2], t[3]] += 1
+                counts[0, t[2], open_ones.get(n, t[3])] += 1
+            for kind, links in ((1, chain), (2, skip)):
+                for i, j in links:
+                    if i not in open_ones and j not in open_ones:
+                        counts[kind, *((label[i], label[j]) if kind == 1 else sorted((label[i], label[j])))] += 2
     kind, left, right = zip(*counts, strict=True) if counts else ((), (), ())
     return {"kind": kind, "a": left, "b": right, "n": list(counts.values())}
 
 
-def association(pairs: dict[tuple[int, int], float]) -> np.ndarray:
-    """Smoothed log ratio of a pair's count to what its labels alone would give, within +-4."""
+def association(pairs: dict[tuple[int, int], float], agree: float = 0.5) -> np.ndarray:
+    """Smoothed log ratio of a pair's count to what its labels alone would give, within +-4.
+
+    ``agree`` is the prior count of equal labels.
+    """
     n = np.full((LABELS, LABELS), 0.5)
+    np.fill_diagonal(n, agree)
     for (a, b), c in pairs.items():
         n[a, b] += c
     expected = n.sum(1, keepdims=True) * n.sum(0, keepdims=True) / n.sum()
@@ -170,12 +182,12 @@ def fit_crf(documents: DataFrame) -> dict[str, np.ndarray]:
             p = np.exp(x @ w - (x @ w).max(1, keepdims=True))
             p /= p.sum(1, keepdims=True)
             w += 1.0 * (x.T @ (n[:, None] * (target - p)) - 1e-5 * w)
-    pairs = {k: {(r["a"], r["b"]): float(r["n"]) for r in rows if r["kind"] == k} for k in (1, 2)}
+    pairs = {k: {(r["a"], r["b"]): r["n"] / 2 for r in rows if r["kind"] == k} for k in (1, 2)}
     both = Counter()
     for (a, b), c in pairs[2].items():
         both[a, b] += c / 2
         both[b, a] += c / 2
-    return {"node": w, "chain": association(pairs[1]), "skip": association(both)}
+    return {"node": w, "chain": association(pairs[1]), "skip": association(both, AGREE)}
 
 
 def marginals(unary: np.ndarray, links: np.ndarray, potentials: np.ndarray, rounds: int = ROUNDS) -> np.ndarray:
@@ -209,20 +221,12 @@ def marginals(unary: np.ndarray, links: np.ndarray, potentials: np.ndarray, roun
 
 
 def label_batch(texts: list[str], model: dict[str, np.ndarray], least: float) -> list[tuple[dict, dict]]:
-    """(base spans, added spans) of every text; one graph holds the batch's documents."""
+    """(base spans, added spans) of every text; documents share a graph up to GRAPH_TOKENS."""
     base = [base_spans(t) if t else {k: [] for k in KINDS} for t in texts]
-    tokens, links, kinds, owner = [], [], [], []
-    for d, text in enumerate(texts):
-        if not any(base[d].values()):
-            continue  # without an observed label nothing spreads
-        own, chain, skip = token_graph(text, base[d])
-        offset = len(tokens)
-        tokens += own
-        owner += [d] * len(own)
-        links += [(offset + i, offset + j) for i, j in chain + skip]
-        kinds += [0] * len(chain) + [1] * len(skip)
     added = [{k: [] for k in KINDS} for _ in texts]
-    if tokens:
+    tokens, links, kinds, owner = [], [], [], []
+
+    def label() -> None:
         x = np.array([[t[2] >> i & 1 for i in range(N_FEATURES)] + [1] for t in tokens], float)
         unary = x @ model["node"]
         unary -= unary.max(1, keepdims=True)
@@ -235,6 +239,21 @@ def label_batch(texts: list[str], model: dict[str, np.ndarray], least: float) ->
         best = p.argmax(1)
         for t in np.flatnonzero(~seen & (best > 0) & (p.max(1) >= least)):
             added[owner[t]][KINDS[best[t] - 1]].append(tokens[t][:2])
+
+    for d, text in enumerate(texts):
+        if not text or not ("@" in text or HAS_DIGIT.search(text)):
+            continue  # no candidate token
+        own, chain, skip = token_graph(text, base[d])
+        offset = len(tokens)
+        tokens += own
+        owner += [d] * len(own)
+        links += [(offset + i, offset + j) for i, j in chain + skip]
+        kinds += [0] * len(chain) + [1] * len(skip)
+        if len(tokens) >= GRAPH_TOKENS:
+            label()
+            tokens, links, kinds, owner = [], [], [], []
+    if tokens:
+        label()
     return list(zip(base, added, strict=True))
 
 

@@ -80,3 +80,18 @@ def test_edges(spark, documents):
     clean = {(r.doc_id, r.text) for r in pii.mask_pii(df, model).collect()}
     assert clean == {(1, None), (2, ""), (3, "[EMAIL]")}
     assert pii.find_pii(df.limit(0), pii.fit_crf(df.limit(0))).count() == 0
+
+
+def test_unmatched_documents_are_labelled_alike(spark, documents, monkeypatch):
+    known = [(i, f"call +1 ({200 + i}) 555-{3000 + i} or a{i}@b.co in room {i % 90} of {1900 + i}") for i in range(60)]
+    model = pii.fit_crf(documents(*known))
+    text = "call (743) 555-3001 in room 12"
+    far = text + " word" * 50 + " x@y.co"
+    one = {r.doc_id: r.spans for r in pii.find_pii(documents((1, text), (2, far)), model).collect()}
+    assert [s for s in one[2].split(",") if s.startswith("phone")] == ["phone:5:10", "phone:11:19"]
+    assert one[1] == "phone:5:10,phone:11:19"          # the unrelated address decides nothing
+    assert pii.mask_pii(documents((1, text)), model).first().text == "call [PHONE] [PHONE] in room 12"
+    texts = [text, "", far, None, "no number"] * 3
+    whole = pii.label_batch(texts, model, pii.LEAST_PROBABILITY)
+    monkeypatch.setattr(pii, "GRAPH_TOKENS", 1)
+    assert pii.label_batch(texts, model, pii.LEAST_PROBABILITY) == whole
