@@ -2,7 +2,7 @@
 
 The patterns find what is certain. Tokens with digits or an at-sign form a graph per document:
 neighbours are chained, and tokens that repeat or share their digits are linked however far
-apart. Labels of pattern matches are observed; loopy message passing carries them to the rest,
+apart, also when a number is written in groups or its groups are cut differently. Labels of pattern matches are observed; loopy message passing carries them to the rest,
 so one person's number is labelled alike throughout a document. Node weights and link
 potentials are fitted to counts over all documents, with the patterns as labels.
 """
@@ -28,7 +28,10 @@ IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 CANDIDATE = re.compile(r"(?<!\S)[^\s0-9@]*+[0-9@]\S*")
+NUMBER = re.compile(r"([^0-9@]*+)[0-9](?:[0-9]|[^\w@])*+([^0-9@]*+)")
+WORD = re.compile(r"\w")
 TRIM = ".,;:!?%$&#*|\"'"
+GROUP_DIGITS = range(7, 20)   # joined digits that link groups; a card has up to 19
 
 ROUNDS = 10          # message passing
 LEAST_PROBABILITY = 0.8
@@ -99,6 +102,46 @@ def features(core: str, before: str | None, after: str | None) -> int:
 N_FEATURES = 16
 
 
+def group_links(found: list[tuple], linked: set[int]) -> set[tuple[int, int]]:
+    """Links between the tokens of equal numbers, whatever groups these are written in.
+
+    The digits of adjacent number tokens are joined. Two stretches of 7 to 19 equal digits that end
+    with a token agree if one of them begins with a token; the other may begin inside one, as where
+    a country code is written without a space. Tokens that hold the same digit are linked, so every
+    token of both has a link; a country code in front is linked to the other's first token. A
+    stretch is compared with the last ones of its digits.
+    """
+    links: set[tuple[int, int]] = set()
+    seen: dict[str, list] = {}
+    most = GROUP_DIGITS[-1]
+    digits, owner = "", []
+    for i, (_, _, core, _, _) in enumerate(found):
+        number = NUMBER.fullmatch(core)
+        own = "".join(c for c in core if c in "0123456789")
+        if not number or len(own) > most:
+            digits, owner = "", []
+            continue
+        if i - 1 not in linked or WORD.search(number[1]):
+            digits, owner = "", []
+        # one digit more than is compared tells whether the longest stretch begins with a token
+        digits, owner = (digits + own)[-most - 1:], (owner + [i] * len(own))[-most - 1:]
+        for n in GROUP_DIGITS:
+            if n > len(owner):
+                break
+            begins = n == len(owner) or owner[-n - 1] != owner[-n]
+            last = seen.setdefault(digits[-n:], [None, None])   # that begins inside a token, with one
+            for other in last if begins else last[1:]:
+                if other and other[-1] < owner[-n]:
+                    links.update(zip(other[-n:], owner[-n:], strict=True))
+                    for x, y in ((other[-n], owner[-n]), (owner[-n], other[-n])):
+                        if x - 1 in linked and found[x - 1][2][:1] == "+":
+                            links.add((min(x - 1, y), max(x - 1, y)))
+            last[begins] = owner
+        if number[2]:
+            digits, owner = "", []
+    return links
+
+
 def token_graph(text: str, spans: dict[str, list[tuple[int, int]]]):
     """Tokens (start, end, mask, label or 0), chain links and skip links of one text."""
     found = []
@@ -126,7 +169,7 @@ def token_graph(text: str, spans: dict[str, list[tuple[int, int]]]):
                 if key in seen and seen[key] != i:
                     skip.add((seen[key], i))
                 seen[key] = i
-    return tokens, chain, sorted(skip)
+    return tokens, chain, sorted(skip | group_links(found, linked))
 
 
 def count_batch(batch: pa.RecordBatch) -> dict:

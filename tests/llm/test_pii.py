@@ -95,3 +95,27 @@ def test_unmatched_documents_are_labelled_alike(spark, documents, monkeypatch):
     whole = pii.label_batch(texts, model, pii.LEAST_PROBABILITY)
     monkeypatch.setattr(pii, "GRAPH_TOKENS", 1)
     assert pii.label_batch(texts, model, pii.LEAST_PROBABILITY) == whole
+
+
+def test_groups_of_a_number_are_linked_in_any_spelling(spark, documents):
+    filler = " words of no account" * 30
+    model = pii.fit_crf(spark.read.parquet(f"{SF_DIR}/documents.parquet"))
+    pairs = [("+1 743 555 3001", "743 555 3001"), ("+1 (743) 555-3001", "743 555 3001"), ("+1 (743) 555-3001", "743-555-3001"),
+             ("+1 (743) 555-3001", "7435553001"), ("+17435553001", "743 555 3001"), ("+1 743 555 3001", "001 743 5553001")]
+    rows = [(i, f"call {a} now.{filler} again {b} in room 12") for i, (a, b) in enumerate(pairs)]
+    got = {r.doc_id: r.spans for r in pii.find_pii(documents(*rows), model).collect()}
+    for i, (_, b) in enumerate(pairs):
+        at = rows[i][1].rindex(b)
+        want = {f"phone:{at + m.start()}:{at + m.end()}" for m in re.finditer(r"\S+", b)}
+        assert want <= set(got[i].split(",")), pairs[i]
+        assert f":{rows[i][1].rindex('12')}:" not in got[i]
+
+    def links(text):
+        found = pii.token_graph(text, pii.base_spans(text))
+        return [(text[found[0][i][0]:found[0][i][1]], text[found[0][j][0]:found[0][j][1]]) for i, j in found[2]]
+
+    assert links(f"743 555 3001{filler} 743 555 3001") == [("743", "743"), ("555", "555"), ("3001", "3001")]
+    assert links(f"743 555 3001{filler} 212 555 3001") == [("555", "555"), ("3001", "3001")]   # not the area codes
+    assert links(f"1743555300{filler} 2843555300") == []       # neither shared stretch begins with a token
+    assert links(f"743 555{filler} 743 555") == []             # too few digits
+    assert links(f"tel:743 555 3001{filler} 7435553001x") == [("tel:743", "7435553001x"), ("555", "7435553001x"), ("3001", "7435553001x")]
