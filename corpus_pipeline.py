@@ -23,17 +23,30 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by five-word shingles and a Jaccard similarity of 0.8, that with the smallest id.
 
-    Rows without shingles or id all stay; of rows with the same id one stays, that of the smallest
-    text hash.
+    Rows without shingles or id all stay. Texts of one id are compared one by one: only those that
+    are near copies go. Of an id's other texts those stay that stand for dropped copies, or else that
+    of the smallest text hash.
     """
     prepare(spark)
-    classes = stored(jaccard.similarity_classes(docs, n=5, percent=80).select("doc_id", "component_id"), "near-copies")
-    gone = stored(classes.where("component_id <> doc_id").select("doc_id").distinct(), "near-copies-gone")
-    kept = docs.join(gone, "doc_id", "left_anti")
-    if not classes.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count():
-        return kept
-    first = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text")))
-    return kept.withColumn("_row_of_id", first).where("_row_of_id = 1 or doc_id is null").select(docs.columns)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    repeated = stored(rows.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"), "near-copies-ids")
+    if not repeated.limit(1).count():
+        classes = stored(jaccard.similarity_classes(docs, n=5, percent=80).select("doc_id", "component_id"), "near-copies")
+        gone = stored(classes.where("component_id <> doc_id").select("doc_id").distinct(), "near-copies-gone")
+        return docs.join(gone, "doc_id", "left_anti")
+    classes = stored(jaccard.text_classes(rows, n=5, percent=80).where("doc_id is not null"), "near-copies")
+    firsts = classes.groupBy("component").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
+    classes = stored(classes.join(firsts, "component").where("first < last"), "near-copies-linked")
+    gone = classes.where("doc_id <> first").select(F.col("row_key").alias("_copy_key")).distinct()
+    stand = classes.where("doc_id = first").groupBy("component").agg(F.min("row_key").alias("_stand_key")).select("_stand_key")
+    key = F.xxhash64(F.col("doc_id").cast("long"), "text")
+    kept = docs.where("doc_id is not null").withColumn("_row_key", key).join(gone, F.col("_row_key") == F.col("_copy_key"), "left_anti")
+    kept = kept.join(stand, F.col("_row_key") == F.col("_stand_key"), "left").withColumn("_stands", F.col("_stand_key").isNotNull())
+    order = Window.partitionBy("doc_id").orderBy(F.desc("_stands"), F.xxhash64("text"), "_row_key")
+    equal = Window.partitionBy("doc_id", "_row_key").orderBy("_row_key")
+    kept = (kept.withColumn("_text_of_id", F.dense_rank().over(order)).withColumn("_row_of_text", F.row_number().over(equal))
+            .where("_row_of_text = 1 and (_stands or _text_of_id = 1)"))
+    return kept.select(docs.columns).union(docs.where("doc_id is null"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -376,19 +376,54 @@ def pairs_across(large: DataFrame, known: DataFrame, signs: DataFrame, percent:
     return rows.groupBy("key", "lo", "hi").applyInArrow(block, "a long, b long").distinct()
 
 
+def differing_ids(signs: DataFrame) -> bool:
+    """Whether some doc_id stands on texts of different shingle sets."""
+    differ = (F.min("digest") != F.max("digest")) | (F.min("n_shingles") != F.max("n_shingles"))
+    return bool(signs.where("doc_id is not null").groupBy("doc_id").agg(differ.alias("differ")).where("differ").limit(1).count())
+
+
 def similarity_classes(documents: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id, n_links) of every row.
 
     Words are runs of anything but ASCII white space, A-Z lower-cased. Two documents are linked
     when 100 * intersection >= percent * union of their sets of n-word shingles. The component id
     is the smallest doc_id reachable by links. Null and empty texts have no shingles and no links;
-    rows with a null doc_id neither; repeated doc_ids share a component. ``n_links`` counts the
-    links verified for the document, not those that follow from equal sets. An empty table gives
-    no rows.
+    rows with a null doc_id neither; repeated doc_ids share a component, whatever their texts.
+    ``n_links`` counts the links verified for the document, or for its text where texts of one id
+    differ, not those that follow from equal sets. An empty table gives no rows.
     """
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    spark = documents.sparkSession
     signs = stored(signatures(docs, n), "signatures")
+    if not differing_ids(signs):
+        return linked_classes(docs, signs, n, percent)
+    rows = stored(text_classes(docs, n, percent), "classes")
+    firsts = rows.where("doc_id is not null").groupBy("component").agg(F.min("doc_id").alias("first"))
+    same = rows.join(firsts, "component").where("doc_id <> first").select(F.col("doc_id").alias("a"), F.col("first").alias("b")).distinct()
+    known = components(stored(same, "same"))
+    return (rows.join(known.withColumnRenamed("component", "known"), F.col("doc_id") == F.col("id"), "left")
+            .select("doc_id", "n_shingles", F.coalesce("known", "doc_id").alias("component_id"), "n_links"))
+
+
+def text_classes(docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """(doc_id, row_key, n_shingles, component, n_links) of every row, each text of an id by itself.
+
+    ``row_key`` is a hash of id and text, null with the id; ``component`` is the smallest reachable
+    row_key.
+    """
+    keyed = docs.select("doc_id", F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id", "text")).alias("row_key"), "text")
+    by_key = keyed.select(F.col("row_key").alias("doc_id"), "text")
+    found = linked_classes(by_key, stored(signatures(by_key, n), "signatures"), n, percent)
+    found = found.where("doc_id is not null").dropDuplicates(["doc_id"]).withColumnRenamed("doc_id", "key")   # equal rows
+    without = signatures(docs.where("doc_id is null"), n).select(
+        "doc_id", F.lit(None).cast("long").alias("row_key"), "n_shingles", F.lit(None).cast("long").alias("component"),
+        F.lit(0).cast("long").alias("n_links"))
+    return (keyed.where("doc_id is not null").select("doc_id", "row_key").join(found, F.col("row_key") == F.col("key"))
+            .select("doc_id", "row_key", "n_shingles", F.col("component_id").alias("component"), "n_links").union(without))
+
+
+def linked_classes(docs: DataFrame, signs: DataFrame, n: int, percent: int) -> DataFrame:
+    """``similarity_classes`` where rows of one id have equal shingle sets."""
+    spark = docs.sparkSession
     counts = spark.sparkContext.broadcast(sketch(docs, n))
     found = stored(compare_tiles(tile_entries(docs, n, percent, counts), percent), "tiles")
     pivots = found.where("kind = 2").select("key", F.lit(0).alias("salt"), "doc", "size", "position")

@@ -104,3 +104,12 @@ def test_components(spark):
     got = {r.id: r.component for r in components(spark.createDataFrame(pairs, "a long, b long")).collect()}
     assert got == {x: root(x) for x in parent}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_texts_of_one_id_are_linked_each(spark, documents):
+    rng = np.random.default_rng(4)
+    words = [f"w{i}" for i in range(2000)]
+    a, b, c = (" ".join(rng.choice(words, 60)) for _ in range(3))
+    df = documents((5, a), (5, b), (3, a + " more"), (7, b + " more"), (8, c), (None, a), (9, None), (9, c + " more"))
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in jaccard.similarity_classes(df, 3, 90).collect()), key=str)
+    assert got == sorted([(3, 59, 3), (5, 58, 3), (5, 58, 3), (7, 59, 3), (8, 58, 8), (9, 0, 8), (9, 59, 8), (None, 58, None)], key=str)

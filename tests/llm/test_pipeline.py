@@ -61,3 +61,15 @@ def test_empty_tables(spark, tmp_path):
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_texts_of_one_id_are_compared_one_by_one(spark):
+    rng = np.random.default_rng(3)
+    words = [f"w{i}" for i in range(2000)]
+    text = [" ".join(rng.choice(words, 60)) for _ in range(4)]
+    rows = [(1, text[0]), (5, text[0] + " more"), (5, text[1]), (5, text[2]), (7, text[1] + " more"), (8, text[2] + " more"), (9, text[3]), (9, text[3]),
+            (None, text[0]), (6, None), (6, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", None if t is None else len(t)) for i, t in rows], SCHEMA)
+    kept = [(r.doc_id, r.text) for r in corpus_pipeline.drop_near_copies(spark, docs, "").collect()]
+    assert len(kept) == 6 and sum(i == 6 for i, _ in kept) == 1
+    assert {(i, t) for i, t in kept if i != 6} == {(1, text[0]), (5, text[1]), (5, text[2]), (9, text[3]), (None, text[0])}
