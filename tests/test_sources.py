@@ -54,7 +54,7 @@ def test_zone_filter(observations):
                         {"flight_id": "lost", "latitude": None},
                         {"flight_id": "afr", "airline_icao": "AFR"})
     assert {r.flight_id for r in filter_feed(feed, BOXES, "europe").collect()} == {"in", "afr"}
-    assert {r.flight_id for r in filter_feed(feed, BOXES, "europe", "AFR", "B737").collect()} == {"afr"}
+    assert {r.flight_id for r in filter_feed(feed, BOXES, "europe", "AFR", "AT76").collect()} == {"afr"}
     assert filter_feed(feed, BOXES, "atlantis").count() == 0
     assert filter_feed(feed, BOXES).count() == filter_feed(feed, BOXES, "global").count() == 4
 
