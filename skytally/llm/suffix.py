@@ -343,10 +343,12 @@ STARTS = "doc long, mark long, starts binary"
 
 
 def per_document(doc: np.ndarray, mark: np.ndarray, start: np.ndarray) -> Iterator[tuple[int, int, bytes]]:
-    """Window starts of each document in one row."""
+    """Window starts of each document in one row; no starts give no rows."""
+    if not len(doc):
+        return
     order = np.lexsort((start, mark, doc))
     doc, mark, start = doc[order], mark[order], start[order]
-    new = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (mark[1:] != mark[:-1])])) if len(doc) else []
+    new = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (mark[1:] != mark[:-1])]))
     for a, b in zip(new, [*new[1:], len(doc)], strict=True):
         yield int(doc[a]), int(mark[a]), start[a:b].astype("<i8").tobytes()
 
@@ -381,7 +383,7 @@ def count_windows(content: DataFrame, length: int, total: int) -> DataFrame:
             first = np.flatnonzero(new)
             seen = np.add.reduceat(copies, first)
             own = np.repeat(seen > 1, np.diff(np.append(first, len(h))))
-            rows = [(-1 - (d & 0xFFFF) % buckets, d, m, None, None, None, None, s) for d, m, s in per_document(doc[own], mark[own], start[own])]
+            rows = [(-1 - xxhash.xxh3_64_intdigest(b"%d" % d) % buckets, d, m, None, None, None, None, s) for d, m, s in per_document(doc[own], mark[own], start[own])]
             bucket = (h[first] % np.uint64(buckets)).astype(np.int64)
             for b in np.unique(bucket).tolist():
                 at = first[bucket == b]
@@ -403,7 +405,7 @@ def count_windows(content: DataFrame, length: int, total: int) -> DataFrame:
         first = np.flatnonzero(np.concatenate([[True], np.diff(h[order]) != 0]))
         seen = np.add.reduceat(copies[order].astype(np.int64), first)
         again = order[np.repeat(seen > 1, np.diff(np.append(first, len(h))))]
-        rows = list(per_document(doc[again], mark[again], start[again])) or [()] * 0
+        rows = list(per_document(doc[again], mark[again], start[again]))
         columns = list(zip(*rows, strict=True)) or [(), (), ()]
         return pa.table({n: pa.array(c, t) for n, c, t in zip(
             ("doc", "mark", "starts"), columns, (pa.int64(), pa.int64(), pa.binary()), strict=True)})

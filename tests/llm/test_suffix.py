@@ -62,6 +62,23 @@ def test_repeats_of_all_kinds(spark, documents, monkeypatch, group):
     assert suffix.remove_repeats(df.limit(0), 50).count() == 0
 
 
+def test_oversized_groups_without_a_repeat(spark, documents, monkeypatch):
+    """Shared strings shorter than a window make a group too large for an index, but nothing repeats."""
+    monkeypatch.setattr(suffix, "GROUP_BYTES", 1)
+    rng = np.random.default_rng(9)
+    text = lambda n: "".join(rng.choice(list("abcdefghij"), n))
+    shared = text(40)
+    rows = [(i, text(60) + shared + text(60)) for i in range(6)]
+    for df in (documents(*rows), documents(*rows).repartition(6)):
+        assert found(suffix.remove_repeats(df, 50)) == plain(rows, 50)
+
+
+def test_no_starts_give_no_rows():
+    none = np.zeros(0, np.int64)
+    assert list(suffix.per_document(none, none, none)) == []
+    assert [r[:2] for r in suffix.per_document(*np.array([[2, 1, 2], [0, 5, 0], [9, 8, 7]]))] == [(1, 5), (2, 0)]
+
+
 def test_matching_statistics_agree_with_comparing_all_positions():
     rng = np.random.default_rng(8)
     for _ in range(30):
