@@ -31,7 +31,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def stored(df: DataFrame, purpose: str) -> DataFrame:
+def stored(df: DataFrame, purpose: str, **options: str) -> DataFrame:
     """Write a table to the cluster's shared scratch folder and read it back.
 
     What several jobs read, or what must not be computed again when executors are lost,
@@ -39,7 +39,7 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, purpose)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

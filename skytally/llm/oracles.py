@@ -84,4 +84,65 @@ SELECT doc_id, CAST(len(d.h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed
 FROM d LEFT JOIN kept USING (rid)
 """
 
-ORACLES = {"op6_jaccard_join": OP6, "op8_decontamination": OP8, "op9_warc": OP9, "op10_suffix_dedup": OP10}
+
+def merkle_sql(levels: int = 7, top_levels: int = 4) -> str:
+    """SQL of the manifest; levels beyond a tree's height change nothing (up to 8 ** levels leaves)."""
+    def value(column: str, text: str) -> str:
+        return f"coalesce({text}(CAST({column} AS VARCHAR)) || ':' || CAST({column} AS VARCHAR), '-')"
+
+    def leaf(text: str) -> str:
+        return "sha256(" + " || ".join(value(c, "strlen") for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+    def trees(name: str, count: int) -> str:
+        """From ``name``0 (tree, r, n, h): nodes of every level with what stands left and right in their run."""
+        parts = []
+        for i in range(count):
+            parts.append(f"""{name}{i}s AS MATERIALIZED (
+    SELECT *, coalesce(CASE WHEN n > 1 THEN string_agg(h, '') OVER (PARTITION BY tree, r // 8 ORDER BY r
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) END, '') AS l,
+           coalesce(CASE WHEN n > 1 THEN string_agg(h, '') OVER (PARTITION BY tree, r // 8 ORDER BY r
+                  ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) END, '') AS g
+    FROM {name}{i}),
+{name}{i + 1} AS MATERIALIZED (
+    SELECT tree, r // 8 AS r, (n + 7) // 8 AS n, CASE WHEN n > 1 THEN sha256(string_agg(h, '' ORDER BY r)) ELSE min(h) END AS h
+    FROM {name}{i} GROUP BY tree, r // 8, n)""")
+        return ",\n".join(parts)
+
+    def climb(name: str, count: int, after: str, before: str, tree: str, place: str) -> str:
+        """Rows of ``before`` with the hash folded and the siblings collected through all levels."""
+        parts, last = [], before
+        for i in range(count):
+            parts.append(f"""{after}{i} AS (
+    SELECT f.* REPLACE (CASE WHEN s.n > 1 THEN sha256(s.l || f.fold || s.g) ELSE f.fold END AS fold, f.proof || s.l || s.g AS proof)
+    FROM {last} f JOIN {name}{i}s s ON s.tree = f.{tree} AND s.r = f.{place} // {8 ** i})""")
+            last = f"{after}{i}"
+        return ",\n".join(parts)
+
+    crc = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(len(k)),
+        lambda i: ascii(substr(k, CAST(i + 1 AS INTEGER), 1))::BIGINT)), lambda c, b: list_reduce(
+        list_prepend(xor(c, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+        lambda x, z: xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384::BIGINT ELSE 0 END))))"""
+    lower = LOWER.format("text")
+    return f"""
+WITH d AS MATERIALIZED (
+    SELECT doc_id, coalesce('=' || lang, '-') AS tree, {leaf("text")} AS leaf,
+           CASE WHEN {crc.replace("k", "CAST(doc_id AS VARCHAR)")} % 3 = 0 THEN {leaf(lower)} ELSE {leaf("text")} END AS claimed
+    FROM documents),
+q AS MATERIALIZED (
+    SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf, claimed) - 1 AS r,
+           count(*) OVER (PARTITION BY tree) AS n FROM d),
+a0 AS MATERIALIZED (SELECT tree, r, n, leaf AS h FROM q),
+{trees("a", levels)},
+t AS MATERIALIZED (SELECT tree, h, row_number() OVER (ORDER BY tree) - 1 AS k FROM a{levels}),
+b0 AS MATERIALIZED (SELECT '' AS tree, k AS r, count(*) OVER () AS n, h FROM t),
+{trees("b", top_levels)},
+e AS (SELECT doc_id, leaf, q.tree, r, t.h AS subroot, k, '' AS top, claimed AS fold, '' AS proof FROM q JOIN t USING (tree)),
+{climb("a", levels, "x", "e", "tree", "r")},
+{climb("b", top_levels, "y", f"x{levels - 1}", "top", "k")}
+SELECT doc_id, leaf, subroot, h AS root, sha256(proof) AS proof_sha256, fold AS folded_root, fold = h AS verified
+FROM y{top_levels - 1}, b{top_levels}
+"""
+
+
+ORACLES = {"op6_jaccard_join": OP6, "op8_decontamination": OP8, "op9_warc": OP9, "op10_suffix_dedup": OP10,
+           "op13_merkle_manifest": merkle_sql()}

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skytally.llm import (
-    ann, decontaminate, jaccard, licenses, packing, pii, quality, suffix, toxicity, warc,
+    alignment, ann, bpe, decontaminate, jaccard, licenses, merkle, packing, pii, quality, suffix, toxicity, warc,
 )
 from skytally.llm.common import read_table
 from skytally.llm.oracles import ORACLES  # noqa: F401 - registered with the queries
@@ -68,6 +68,19 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.remove_repeats(read_table(spark, sf_dir, "documents"), length=200).drop("spans", "kept")
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_documents(read_table(spark, sf_dir, "documents"))
+
+
+def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(read_table(spark, sf_dir, "documents"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
+    return merkle.verify_documents(read_table(spark, sf_dir, "documents"), tampered)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_nearest_neighbours, op2_quality_classifier, op3_packing, op4_license_scan, op5_pii, op6_jaccard_join,
-    op7_toxicity, op8_decontamination, op9_warc, op10_suffix_dedup)}
+    op7_toxicity, op8_decontamination, op9_warc, op10_suffix_dedup, op11_alignment, op12_bpe, op13_merkle_manifest)}

@@ -1,0 +1,109 @@
+import hashlib
+from collections import Counter
+
+import public_tokenizers
+import sentencepiece
+from tokenizers import Tokenizer
+
+from skytally.llm import alignment
+from skytally.llm.bpe import byte_characters
+from skytally.llm.queries import op11_alignment
+from tests.llm.conftest import SF_DIR
+
+A = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+A.encode_special_tokens = True
+B = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+BYTE = {c: b for b, c in enumerate(byte_characters())}
+
+
+def ends(tokens):
+    out, at = [], 0
+    for t in tokens:
+        at += len(t)
+        out.append(at)
+    return out
+
+
+def aligned(text):
+    """(A ids, B ids, groups as text, links as pairs of ids) by the libraries and plain loops."""
+    if not text:
+        return [], [], "", []
+    a, b = A.encode(" " + text, add_special_tokens=False).ids, B.encode(text)
+    a_tokens = [bytes(BYTE[c] for c in A.id_to_token(i)) for i in a]
+    b_tokens = [bytes([int(B.id_to_piece(i)[3:5], 16)]) if B.is_byte(i) else B.id_to_piece(i).replace("▁", " ").encode() for i in b]
+    if not b"".join(a_tokens) == b"".join(b_tokens) == (" " + text).encode():
+        return [], [], "", []
+    a_at, b_at = dict(zip(ends(a_tokens), a, strict=True)), dict(zip(ends(b_tokens), b, strict=True))
+    groups, links, own, other = [], [], [], []
+    for end in sorted(a_at.keys() | b_at.keys()):
+        own += [a_at[end]] if end in a_at else []
+        other += [b_at[end]] if end in b_at else []
+        if end in a_at and end in b_at:
+            links.append((a_at[end], b_at[end]))
+            groups.append(",".join(map(str, own)) + "|" + ",".join(map(str, other)))
+            own, other = [], []
+    return a, b, ";".join(groups), links
+
+
+def plain(rows):
+    known = {t: aligned(t) for _, t in rows}
+    counts = Counter(p for _, t in rows for p in known[t][3])
+    highest = {}
+    for (_, b), n in counts.items():
+        highest[b] = max(n, highest.get(b, 0))
+    out = []
+    for i, t in rows:
+        a, b, groups, links = known[t]
+        out.append((i, len(a), len(b), groups.count(";") + 1 if groups else 0, len(links), sum(counts[p] == highest[p[1]] for p in links),
+                    sum(counts[p] for p in links), hashlib.sha256(groups.encode()).hexdigest() if groups else ""))
+    return sorted(out, key=str)
+
+
+COLUMNS = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
+
+
+def found(df):
+    assert df.columns == COLUMNS
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+def test_query_agrees_with_the_libraries(spark, texts):
+    assert found(op11_alignment(spark, SF_DIR)) == plain(list(texts.items()))
+
+
+EDGES = [(1, None), (2, ""), (3, "a b"), (3, "a b"), (None, "a b"), (4, " "), (5, "x  y\n\tz "), (6, "<|endoftext|> <s> </s> <unk> <0x0A>"),
+         (7, "▁ a▁b"), (8, "漢字🙂é…"), (9, "wörd and 12 more " * 30_000), (10, "a b c d"), (11, "\0"), (None, None), (12, "ﬁ ① ＡＢ ́e")]
+
+
+def test_edges(spark, documents):
+    df = documents(*EDGES).repartition(3)
+    got = found(alignment.align_documents(df))
+    assert got == plain(EDGES)
+    assert {r[1:] for r in got if r[0] in (1, 2)} == {(0, 0, 0, 0, 0, 0, "")}
+    assert next(r for r in got if r[0] == 7)[1] == 0  # the mark itself is read as a space
+    assert alignment.align_documents(df.limit(0)).count() == 0
+    assert found(alignment.align_documents(documents((1, None), (2, "")))) == [(1, *[0] * 6, ""), (2, *[0] * 6, "")]
+
+
+def test_common_and_rare_texts_go_to_the_same_result(spark, documents, monkeypatch):
+    rows = [(i, "a common text") for i in range(40)] + [(100 + i, f"rare text {i % 7}") for i in range(20)] + [(200, None)]
+    for share in (1, 2, 10, 1000):
+        monkeypatch.setattr(alignment, "COMMON_SHARE", share)
+        assert found(alignment.align_documents(documents(*rows).repartition(4))) == plain(rows)
+
+
+def test_each_distinct_text_is_encoded_once(spark, documents):
+    df = documents(*[(i, f"text {i % 3}") for i in range(30)], (31, None), (32, ""))
+    encoded = alignment.encode_texts(alignment.distinct_texts(df))
+    assert sorted(r.copies for r in encoded.collect()) == [10, 10, 10]
+    pairs = alignment.count_pairs(encoded)
+    assert sum(r.n for r in pairs.collect()) == 10 * sum(len(aligned(f"text {i}")[3]) for i in range(3))
+
+
+def test_pairs_are_bounded_by_the_vocabularies(spark, texts):
+    """Of two linked tokens one is the end of the other."""
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    tokens = alignment.vocabulary(alignment.public(alignment.BYTE_LEVEL)).tokens
+    for r in alignment.count_pairs(alignment.encode_texts(alignment.distinct_texts(df))).collect():
+        a, b = tokens[r.a_id], alignment.pieces(alignment.public(alignment.PIECES))[1][r.b_id]
+        assert a.endswith(b) or b.endswith(a)
