@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime, timezone
 
 from pyspark.sql import Column
@@ -71,6 +72,11 @@ def percent(part: Column, whole: Column, digits: int = 1) -> Column:
     return round_binary(value, digits)
 
 
+def bound(value: Column, result: Callable[[Column], Column]) -> Column:
+    """``result`` of a value that is computed once, however often the result names it."""
+    return F.get(F.transform(F.array(value), result), F.lit(0))
+
+
 def round_binary(value: Column, digits: int) -> Column:
     """Round a non-negative double of moderate size half to even by its exact binary value.
 
@@ -78,15 +84,22 @@ def round_binary(value: Column, digits: int) -> Column:
     leading bits and the rest, whose multiples are both exact, so the sign of their sum is too.
     """
     scale = 10 ** digits
-    low = F.floor(value * scale)
-    # the product may have been rounded across a whole number
-    down = F.when(low / scale > value, low - 1).when((low + 1) / scale <= value, low + 1).otherwise(low)
-    middle = down * 2 + 1
-    head = F.floor(value * (1 << 20)) / (1 << 20)
-    rest = value - head
-    gap = (head * (2 * scale) - middle) + rest * (2 * scale)
-    up = F.when(gap > 0, down + 1).when(gap < 0, down).otherwise(down + F.pmod(down, F.lit(2)))
-    return (up / scale).cast("double")
+
+    def down(v: Column) -> Column:
+        low = F.floor(v * scale)
+        # the product may have been rounded across a whole number
+        return bound(low, lambda x: F.when(x / scale > v, x - 1).when((x + 1) / scale <= v, x + 1).otherwise(x))
+
+    def gap(v: Column, below: Column) -> Column:
+        head = F.floor(v * (1 << 20)) / (1 << 20)
+        return bound(head, lambda h: (h * (2 * scale) - (below * 2 + 1)) + (v - h) * (2 * scale))
+
+    def nearest(v: Column, below: Column) -> Column:
+        return bound(gap(v, below), lambda g: F.when(g > 0, below + 1).when(g < 0, below).otherwise(
+            below + F.pmod(below, F.lit(2))))
+
+    rounded = bound(value, lambda v: bound(down(v), lambda below: nearest(v, below)))
+    return (rounded / scale).cast("double")
 
 
 def partition_labels(at: Column) -> dict[str, Column]:
