@@ -255,7 +255,7 @@ def landed_feed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def airport_csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """An airports file with one line per customer: quotes, padding, ``\\N``, short lines."""
+    """An airports file with one record per customer: quotes, line breaks, padding, ``\\N``, short lines."""
     key = F.col("c_custkey")
     letters = [F.char(F.lit(65) + (F.floor(key / d) % 26).cast("int")) for d in (676, 26, 1)]
     iata = (
@@ -265,7 +265,8 @@ def airport_csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     fields = [
         key.cast("string"),
-        F.concat(F.lit('"Field ""'), key.cast("string"), F.lit('"", main"')),
+        F.concat(F.lit('"Field ""'), key.cast("string"), F.lit('"", main'),
+                 F.when(key % 43 == 0, "\nhall").otherwise(""), F.lit('"')),
         F.col("c_mktsegment"),
         F.concat(F.lit('"'), airport_field(F.col("c_nationkey"), 1), F.lit('"')),
         iata,

@@ -175,6 +175,8 @@ SELECT CASE WHEN l_partkey % 89 = 0 THEN 'malformed' ELSE 'no_key' END AS reason
   count(*) AS records
 FROM lineitem WHERE l_partkey % 83 = 0 OR l_partkey % 89 = 0 GROUP BY 1""")
 
+ORACLES["ingest_staged"] = ORACLES["ingest_feed"]
+
 oracle("collect_zones", FEED, f"""
 SELECT flight_id, callsign, zone AS source_zone, {km_list('latitude', 'longitude', 'altitude')},
   on_ground::BIGINT AS on_ground FROM feed
@@ -206,6 +208,12 @@ oracle("union_zones", FEED, f"""
 SELECT {KEY}, zone AS source_zone FROM feed
 JOIN zones ON latitude BETWEEN y2 AND y1 AND longitude BETWEEN x1 AND x2""")
 
+oracle("zones_on_grid", FEED, f"""
+SELECT {KEY}, zone AS source_zone FROM feed
+JOIN (SELECT * FROM zones UNION ALL VALUES ('pacific', 60e0, -60e0, 150e0, -150e0)) z
+  ON latitude BETWEEN y2 AND y1
+  AND CASE WHEN x1 <= x2 THEN longitude BETWEEN x1 AND x2 ELSE longitude >= x1 OR longitude <= x2 END""")
+
 oracle("dedup_zones", FEED, f"""
 SELECT {KEY}, {ts('extraction_timestamp')} AS extraction_timestamp, zone AS source_zone FROM feed
 JOIN zones ON latitude BETWEEN y2 AND y1 AND longitude BETWEEN x1 AND x2
@@ -227,7 +235,8 @@ lettered AS (
 csv AS (
   SELECT letters AS airport_iata,
     CASE WHEN c_custkey % 7 <> 0 THEN 'K' || c_custkey END AS airport_icao,
-    'Field "' || c_custkey || '", main' AS airport_name, country AS country_name,
+    'Field "' || c_custkey || '", main' || CASE WHEN c_custkey % 43 = 0 THEN chr(10) || 'hall' ELSE '' END
+      AS airport_name, country AS country_name,
     CASE WHEN c_custkey % 29 <> 0 OR (c_custkey % 31 = 0) THEN c_acctbal / 125 END AS latitude,
     c_acctbal / 62.5e0 AS longitude, cc, continent
   FROM lettered WHERE c_custkey % 19 <> 0 AND c_custkey % 23 <> 0 AND c_custkey % 31 <> 0)"""
@@ -373,6 +382,10 @@ oracle("batch_retry", "", """
 SELECT n AS extracted_rows, n AS bronze_rows
 FROM (SELECT count(*) AS n FROM lineitem) CROSS JOIN (SELECT unnest([1, 2]))""")
 
+oracle("batch_lost_append", FEED, """
+SELECT 'B1' AS batch_id, '2026' AS tech_year, '2026-06' AS tech_month, '2026-06-21' AS tech_day,
+  '14' AS tech_hour, count(*) AS bronze_rows, count(*) FILTER (on_ground = 0) AS airborne FROM feed""")
+
 CARDINALITY = """
 count(DISTINCT airline_icao) AS unique_airlines, count(DISTINCT aircraft_code) AS unique_aircraft"""
 
@@ -380,6 +393,15 @@ oracle("dimension_cardinality", BRONZE, f"""
 SELECT {CARDINALITY}, (SELECT count(DISTINCT iata) FROM (SELECT origin_iata AS iata FROM bronze
   UNION ALL SELECT destination_iata FROM bronze)) AS unique_airports FROM bronze""")
 
+oracle("distinct_over_runs", BRONZE, f"""
+SELECT substr(batch_id, 2, 4) AS year, count(*) AS row_count, {CARDINALITY},
+  any_value(p.unique_airports) AS unique_airports
+FROM bronze JOIN (SELECT year, count(DISTINCT iata) AS unique_airports FROM (
+    SELECT substr(batch_id, 2, 4) AS year, origin_iata AS iata FROM bronze
+    UNION ALL SELECT substr(batch_id, 2, 4), destination_iata FROM bronze) GROUP BY year) p
+  ON p.year = substr(batch_id, 2, 4)
+GROUP BY substr(batch_id, 2, 4)""")
+
 oracle("missing_rates", FEED + ", rates AS (" + " UNION ALL ".join(
     f"SELECT '{c}' AS column_name, {pct(f'count(*) FILTER ({test})', 'count(*)')} AS missing_pct FROM feed"
     for c, test in [
@@ -453,6 +475,8 @@ dim_countries_continents AS (
 for _dim in DIMENSION_NAMES:
     oracle(f"build_{_dim}", DIMENSIONS, f"SELECT *, {STAMP} AS last_updated FROM {_dim}")
 
+oracle("rollup_dimensions", DIMENSIONS, f"SELECT *, {STAMP} AS last_updated FROM dim_airports")
+
 
 def counts(names, **replaced: str) -> str:
     return " UNION ALL ".join(
@@ -556,15 +580,16 @@ oracle("replay_bronze", REPLAYED, f"""
 SELECT flight_id, {ts('extraction_timestamp + INTERVAL 10 YEARS')} AS extraction_timestamp,
   'B2' AS batch_id, round(altitude + 100, 3) AS altitude, is_valid FROM silver""")
 
+oracle("merge_bronze", REPLAYED, f"""
+SELECT flight_id, {ts('extraction_timestamp')} AS extraction_timestamp, batch_id,
+  round(altitude, 3) AS altitude, is_valid FROM silver""")
+
 oracle("silver_overwrite", SILVER, f"""
 SELECT flight_id, batch_id,
   CASE WHEN tech_year >= '1999' THEN 'REDONE' ELSE airline_icao END AS airline_icao, {LABELS}
 FROM silver""")
 
-oracle("dim_snapshot", SILVER, """
-SELECT DISTINCT iata AS airport_iata, cc AS country_code, continent AS continent_code FROM airports
-WHERE iata IN (SELECT unnest([origin_iata, destination_iata]) FROM silver
-  WHERE is_valid AND origin_iata < 'E' AND destination_iata < 'E')""")
+oracle("dim_snapshot", DIMENSIONS, "SELECT airport_iata, country_code, continent_code FROM dim_airports")
 
 oracle("gold_idempotent", GOLD, """
 SELECT *, '2026-06-21 14:30:00' AS computed_at, '2026' AS tech_year, '2026-06' AS tech_month,
@@ -607,6 +632,8 @@ SELECT batch_id, status, total_duration_seconds, total_rows AS flights, pct_vali
   unique_airlines AS airlines, unique_airports AS airports, num_errors, num_warnings, end_time
 FROM runs""")
 
+ORACLES["run_index"] = ORACLES["run_history"]
+
 oracle("run_trends", RUNS,
        "SELECT batch_id, end_time, total_duration_seconds, pct_valid FROM runs")
 

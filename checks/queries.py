@@ -16,14 +16,15 @@ from skytally.functions import (
 )
 from skytally.layout import Lake
 from skytally.operators import dimensions as dims
-from skytally.operators import kpis, profile, quality, zones
+from skytally.operators import kpis, profile, quality, rollup, sketches, zones
 from skytally.operators.enrich import fill_from_dimensions
 from skytally.operators.pick import latest_per_flight
 from skytally.plans import runs as run_plans
 from skytally.plans.batch import RunSettings, replay, run_batch
 from skytally.plans.gold import gold_tables
 from skytally.plans.silver import silver_fact
-from skytally.schema import FLIGHTS_RAW, LABEL_COLUMNS
+from skytally.plans.state import current_fact, merge_batch
+from skytally.schema import ATTEMPT, FLIGHTS_RAW, LABEL_COLUMNS
 from skytally.session import apply_settings, scratch_path
 from skytally.sinks import reports
 from skytally.sinks.lake import label_hours, write_bronze, write_dimension, write_fact, write_gold
@@ -110,9 +111,19 @@ def ingest_feed(spark, sf_dir):
 
 @query
 def ingest_rejects(spark, sf_dir):
+    """What the ingest put into quarantine, with its reason."""
+    lake = new_lake(spark)
+    landed = feeds.read_feed(spark, bridge.land(bridge.landed_feed_lines(spark, sf_dir), "feed"))
+    feeds.stage_feed(landed, lake, RUN_TS, "B1")
+    return feeds.read_quarantine(spark, lake).groupBy("reason").agg(F.count("*").alias("records"))
+
+
+@query
+def ingest_staged(spark, sf_dir):
+    """The observations of a feed that was parsed once, beside its quarantine."""
+    lake = new_lake(spark)
     landed = feeds.read_feed(spark, bridge.land(bridge.landed_feed_lines(spark, sf_dir), "feed"))
-    reason = F.when(F.col("_corrupt_record").isNotNull(), "malformed").otherwise("no_key")
-    return feeds.rejected(landed).groupBy(reason.alias("reason")).agg(F.count("*").alias("records"))
+    return feeds.stage_feed(landed, lake, RUN_TS, "B1").observations.select(*INGEST_COLUMNS)
 
 
 @query
@@ -182,6 +193,14 @@ def union_zones(spark, sf_dir):
     )
 
 
+@query
+def zones_on_grid(spark, sf_dir):
+    """All zones as a table, one of them across the date line."""
+    rows = bridge.feed(spark, sf_dir, ("flight_id", "latitude", "longitude", "source_zone", *TIE_BREAK))
+    table = zones.zone_table(spark, {**ZONES, "pacific": zones.Box(60.0, -60.0, 150.0, -150.0)})
+    return zones.union_zone_table(rows, table).select(*KEY, "source_zone")
+
+
 @query
 def dedup_zones(spark, sf_dir):
     rows = bridge.feed(spark, sf_dir, (
@@ -401,6 +420,16 @@ def dimension_cardinality(spark, sf_dir):
         bridge.feed(spark, sf_dir, quality.CODE_COLUMNS)))
 
 
+@query
+def distinct_over_runs(spark, sf_dir):
+    """Distinct values per year, merged from one stored sketch per monthly run."""
+    lake = new_lake(spark)
+    rows = quality.normalize_codes(bridge.feed(spark, sf_dir, ("batch_id", *quality.CODE_COLUMNS)))
+    sketches.run_sketches(rows, "batch_id").write.parquet(lake.sketches)
+    runs = spark.read.schema(sketches.SKETCHES).parquet(lake.sketches)
+    return sketches.merged_counts(runs.withColumn("year", F.substring("batch_id", 2, 4)), "year")
+
+
 @query
 def missing_rates(spark, sf_dir):
     return profile.missing_rates(bridge.feed(spark, sf_dir, (
@@ -497,6 +526,13 @@ def dims_fallback(spark, sf_dir):
     return _dimension_counts(spark, sf_dir, airlines=bulk)
 
 
+@query
+def rollup_dimensions(spark, sf_dir):
+    """Airports from the roll-up that the KPIs share, instead of from the fact."""
+    rolled = rollup.RolledUp(stored(silver(spark, sf_dir), "silver"), scratch_path(spark, "rollup"))
+    return rollup.dimensions_of_rollup(rolled, RUN_TS)["dim_airports"]
+
+
 # --- KPIs --------------------------------------------------------------------------------
 
 def _register_kpi(name: str) -> None:
@@ -573,6 +609,19 @@ def batch_retry(spark, sf_dir):
     return runs.select(F.col("extraction.rows").alias("extracted_rows")).crossJoin(F.broadcast(bronze))
 
 
+@query
+def batch_lost_append(spark, sf_dir):
+    """A batch whose first append was lost before its commit, with its airborne flights written."""
+    lake = new_lake(spark)
+    observations = bridge.feed(spark, sf_dir).drop(*TIE_BREAK)
+    flagged = quality.flag_quality(observations.withColumn("batch_id", F.lit("B1")))
+    label_hours(flagged.where("on_ground = 0"), RUN_TS).withColumn(ATTEMPT, F.lit("lost")).write.partitionBy(
+        *LABEL_COLUMNS, ATTEMPT).parquet(lake.bronze)
+    run_batch(observations, lake, RUN_TS, "B1", settings=RunSettings(load_silver_gold=False))
+    return read_bronze(spark, lake).groupBy("batch_id", *LABEL_COLUMNS).agg(
+        F.count("*").alias("bronze_rows"), F.count_if(F.col("on_ground") == 0).alias("airborne"))
+
+
 @query
 def quality_report_json(spark, sf_dir):
     """The quality report as its JSON file has it."""
@@ -643,6 +692,18 @@ def replay_bronze(spark, sf_dir):
     return facts.select("flight_id", "extraction_timestamp", "batch_id", "altitude", "is_valid")
 
 
+@query
+def merge_bronze(spark, sf_dir):
+    """The history before 1996 and the observations since, merged by flight; the latter twice."""
+    lake = new_lake(spark)
+    rows = bridge.bronze(spark, sf_dir).drop(*TIE_BREAK)
+    since = F.col("extraction_timestamp") >= "1996-01-01"
+    for part in (~since, since, since):
+        merge_batch(spark, lake, rows.where(part))
+    facts = current_fact(spark, lake, bridge.airports_dim(spark), bridge.airlines_dim(spark))
+    return facts.select("flight_id", "extraction_timestamp", "batch_id", "altitude", "is_valid")
+
+
 @query
 def silver_overwrite(spark, sf_dir):
     """Rewriting some hours of the fact leaves all others as they were."""
@@ -657,13 +718,13 @@ def silver_overwrite(spark, sf_dir):
 
 @query
 def dim_snapshot(spark, sf_dir):
-    """A dimension snapshot is replaced as a whole."""
+    """A dimension snapshot is replaced as a whole; airports that only the first one had are gone."""
     path = new_lake(spark).dimension("dim_airports")
     facts = stored(silver(spark, sf_dir), "silver")
-    write_dimension(dims.airports_of_facts(facts, RUN_TS), path)
-    some = facts.where("is_valid and origin_iata < 'E' and destination_iata < 'E'")
-    write_dimension(dims.airports_of_facts(some, RUN_TS), path)
-    return spark.read.parquet(path).select("airport_iata", "country_code", "continent_code")
+    whole = dims.airports_of_facts(facts, RUN_TS)
+    write_dimension(whole.withColumn("airport_iata", F.concat(F.lit("old "), "airport_iata")), path)
+    write_dimension(whole, path)
+    return refs.read_snapshot(spark, path).select("airport_iata", "country_code", "continent_code")
 
 
 @query
@@ -754,6 +815,18 @@ def run_history(spark, sf_dir):
     return run_plans.run_history(landed_runs(spark, sf_dir))
 
 
+@query
+def run_index(spark, sf_dir):
+    """The history of runs by an index that was refreshed before half of them came, and after."""
+    lake = new_lake(spark)
+    runs = stored(run_plans.run_documents(run_measures(spark, sf_dir)), "runs")
+    early = F.col("batch_id") < "B199601"
+    for part in (early, ~early):
+        reports.write_run_metrics(runs.where(part), lake)
+        history = run_sources.refresh_run_index(spark, lake.run_metrics, lake.run_index)
+    return run_plans.run_history(history)
+
+
 @query
 def run_trends(spark, sf_dir):
     return run_plans.run_trends(landed_runs(spark, sf_dir))

@@ -18,10 +18,30 @@ class Lake:
     def bronze(self) -> str:
         return f"{self.root}/bronze/flights_raw"
 
+    @property
+    def bronze_commits(self) -> str:
+        return f"{self.root}/bronze/_commits/flights_raw"
+
+    @property
+    def staged_feed(self) -> str:
+        return f"{self.root}/staging/flights_feed"
+
     @property
     def fact(self) -> str:
         return f"{self.root}/silver/fact_flights"
 
+    @property
+    def state(self) -> str:
+        return f"{self.root}/silver/flight_state"
+
+    @property
+    def rollup(self) -> str:
+        return f"{self.root}/silver/rollup_flights"
+
+    @property
+    def sketches(self) -> str:
+        return f"{self.root}/silver/run_sketches"
+
     def dimension(self, name: str) -> str:
         return f"{self.root}/silver/{name}/_current"
 
@@ -32,6 +52,10 @@ class Lake:
     def run_metrics(self) -> str:
         return f"{self.root}/_logs/metrics"
 
+    @property
+    def run_index(self) -> str:
+        return f"{self.root}/_logs/metrics_index"
+
     @property
     def alerts(self) -> str:
         return f"{self.root}/_logs/alerts"

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skytally.operators.pick import first_per_key
@@ -32,10 +32,12 @@ class Box(NamedTuple):
         return cls(zone["tl_y"], zone["br_y"], zone["tl_x"], zone["br_x"])
 
     def holds(self) -> Column:
-        return (
-            F.col("latitude").between(self.y2, self.y1)
-            & F.col("longitude").between(self.x1, self.x2)
-        )
+        """Whether the row's position is inside; left of right, the box crosses the date line."""
+        longitude = F.col("longitude")
+        inside = longitude.between(self.x1, self.x2)
+        if self.x1 > self.x2:  # NaN, which is greater than any number, is nowhere
+            inside = ((longitude >= self.x1) & ~F.isnan(longitude)) | (longitude <= self.x2)
+        return F.col("latitude").between(self.y2, self.y1) & inside
 
 
 def filter_feed(
@@ -74,6 +76,62 @@ def union_zones(feed: DataFrame, zones: Mapping[str, Box], wanted: Iterable[str]
     )
 
 
+CELL_DEGREES = 10.0
+_ROWS, _COLUMNS = 90, 180  # degrees at the border cells, which take what lies beyond
+
+
+def zone_table(spark: SparkSession, zones: Mapping[str, Box]) -> DataFrame:
+    """Zones as a table (zone, y1, y2, x1, x2), as ``union_zone_table`` takes them."""
+    rows = [(name, *map(float, box)) for name, box in zones.items()]
+    return spark.createDataFrame(rows, "zone string, y1 double, y2 double, x1 double, x2 double")
+
+
+def _cell(value: Column, most: int, degrees: float) -> Column:
+    """Number of the cell a coordinate lies in; NULL for none. Border cells reach to infinity."""
+    inside = F.least(F.greatest(value, F.lit(float(-most))), F.lit(float(most)))
+    return F.when(~F.isnan(value), F.floor(inside / degrees)).cast("int")
+
+
+def zone_cells(zones: DataFrame, degrees: float = CELL_DEGREES) -> DataFrame:
+    """Every grid cell that a zone touches: a bounded number per zone, whatever its size."""
+    def steps(low: Column, high: Column, most: int) -> Column:
+        return F.sequence(_cell(low, most, degrees), _cell(high, most, degrees))
+
+    west, east = F.lit(float(-_COLUMNS)), F.lit(float(_COLUMNS))
+    x1, x2 = F.col("x1"), F.col("x2")
+    columns = F.when(x1 <= x2, steps(x1, F.greatest(x1, x2), _COLUMNS)).otherwise(
+        F.array_distinct(F.concat(steps(x1, F.greatest(x1, east), _COLUMNS), steps(F.least(x2, west), x2, _COLUMNS))))
+    rows = F.when(F.col("y2") <= F.col("y1"), steps(F.col("y2"), F.greatest("y1", "y2"), _ROWS))
+    return zones.withColumn("_row", F.explode(rows)).withColumn("_column", F.explode(columns))
+
+
+def union_zone_table(
+    feed: DataFrame, zones: DataFrame, wanted: Iterable[str] | None = None, degrees: float = CELL_DEGREES,
+) -> DataFrame:
+    """``union_zones`` for zones that are a table: an equi-join on grid cells, then the exact test.
+
+    A row meets only the zones of its own cell, so any number of zones can be held against the
+    feed. A zone whose left is greater than its right crosses the date line. Without ``wanted``
+    all zones count; ``global`` among them adds every row.
+    """
+    names = None if wanted is None else list(wanted)
+    if names is not None:
+        zones = zones.where(F.col("zone").isin(names))
+    others = [c for c in feed.columns if c != "source_zone"]
+    cells = zone_cells(zones, degrees)
+    located = feed.withColumns({
+        "_row": _cell(F.col("latitude"), _ROWS, degrees), "_column": _cell(F.col("longitude"), _COLUMNS, degrees)})
+    longitude = F.col("longitude")
+    across = F.when(F.col("x1") <= F.col("x2"), longitude.between(F.col("x1"), F.col("x2"))).otherwise(
+        (longitude >= F.col("x1")) | (longitude <= F.col("x2")))
+    found = (located.join(cells, ["_row", "_column"])
+             .where(F.col("latitude").between(F.col("y2"), F.col("y1")) & across)
+             .select(*others, F.col("zone").alias("source_zone")))
+    if names is not None and GLOBAL_ZONE in names:
+        found = found.unionByName(feed.select(*others, F.lit(GLOBAL_ZONE).alias("source_zone")))
+    return found.select(*feed.columns)
+
+
 def dedup_zones(collected: DataFrame, order: Iterable[str] | None = None) -> DataFrame:
     """One row per ``flight_id`` over all zones: the latest, then the smallest other values."""
     if order is None:

@@ -31,12 +31,13 @@ def concurrently(spark: SparkSession, tasks: dict[str, Callable[[], DataFrame]])
     return {name: future.result() for name, future in running.items()}
 
 
-def load_gold(silver: DataFrame, lake: Lake, run_ts: datetime) -> dict[str, DataFrame]:
+def load_gold(
+    silver: DataFrame, lake: Lake, run_ts: datetime, tables: dict[str, DataFrame] | None = None,
+) -> dict[str, DataFrame]:
     """Write every KPI for the run's hour; returns the tables as written.
 
-    ``silver`` should be read from a written table: each KPI then scans only its own few columns
-    and groups by few keys. One shared aggregate over the keys of all KPIs would save scans but
-    has so many groups that it hardly combines before its shuffle.
+    ``tables`` are the KPIs where they are known already, as from a roll-up; otherwise each scans
+    its own few columns of ``silver``, which should be read from a written table.
     """
     def write(name: str, table: DataFrame) -> DataFrame:
         path = write_gold(table, lake, name, run_ts)
@@ -44,5 +45,5 @@ def load_gold(silver: DataFrame, lake: Lake, run_ts: datetime) -> dict[str, Data
 
     return concurrently(silver.sparkSession, {
         name: lambda name=name, table=table: write(name, table)
-        for name, table in gold_tables(silver, run_ts).items()
+        for name, table in (tables or gold_tables(silver, run_ts)).items()
     })

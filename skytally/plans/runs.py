@@ -19,7 +19,7 @@ SLA_ALERT = ("sla_breach", "Durée %ds > SLA {sla}s")
 EMPTY_ALERT = ("empty_extraction", "Aucun vol extrait de l'API")
 
 # what a run reports about itself, next to its batch_id, start and end
-_COUNTS = ("extraction_rows", "valid_rows", "on_ground", "on_flight")
+_COUNTS = ("extraction_rows", "valid_rows", "on_ground", "on_flight", "rejected_rows")
 _DIMENSION_COUNTS = dict(zip(DIMENSION_NAMES, (
     "unique_airlines", "unique_airports", "unique_aircraft", "unique_countries",
 ), strict=True))
@@ -59,7 +59,8 @@ def run_documents(measures: DataFrame) -> DataFrame:
         "batch_id": F.col("batch_id"),
         "start_time": _iso("started"),
         "extraction": F.struct(
-            rows.alias("rows"), F.bround("extraction_seconds", 2).alias("duration_seconds")),
+            rows.alias("rows"), F.bround("extraction_seconds", 2).alias("duration_seconds"),
+            F.col("rejected_rows")),
         "validation": F.struct(
             valid.alias("valid_rows"), (rows - valid).alias("invalid_rows"),
             percent(valid, rows).alias("pct_valid")),

@@ -48,6 +48,11 @@ BRONZE = T.StructType(
     ))
 )
 
+# A commit of Bronze: which folders (below which hours, "yyyy/yyyy-MM/yyyy-MM-dd/HH") hold a batch.
+ATTEMPT = "attempt"
+MANY_DAYS = "many"
+COMMIT = "batch string, attempt string, row_count long, hours array<string>, committed_micros long"
+
 # Feed spelling -> Bronze spelling; every other feed field keeps its name.
 FEED_RENAMES = {
     "id": "flight_id",
@@ -107,7 +112,8 @@ def _counted(names: tuple[str, ...], field: str, *first: T.StructField) -> T.Str
 RUN_METRICS = T.StructType([
     T.StructField("batch_id", STRING, True),
     T.StructField("start_time", STRING, True),
-    T.StructField("extraction", _struct(("rows", LONG, True), ("duration_seconds", DOUBLE, True))),
+    T.StructField("extraction", _struct(("rows", LONG, True), ("duration_seconds", DOUBLE, True),
+                                        ("rejected_rows", LONG, True))),
     T.StructField("validation", _struct(("valid_rows invalid_rows", LONG, True),
                                         ("pct_valid", DOUBLE, True))),
     T.StructField("analysis", _struct(("on_ground_count in_flight_count", LONG, True),

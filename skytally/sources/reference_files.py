@@ -39,11 +39,13 @@ def read_airports_csv(spark: SparkSession, path: str) -> DataFrame:
 
     A line needs at least 8 fields. Spark pads shorter lines with NULL and keeps them in
     ``_corrupt_record``, where the fields can be counted. ``\N`` stands for a missing value.
+    A quoted field may hold line breaks; the price is that a file, small here, is read by one task.
     """
     lines = (
         spark.read.schema(AIRPORTS_CSV)
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("escape", '"')
+        .option("multiLine", True)
         .option("columnPruning", False)  # a pruned parser does not notice short lines
         .csv(path)
     )

@@ -1,0 +1,190 @@
+"""Appends, snapshots and Gold hours that are lost half-way, raced or cleared."""
+
+from __future__ import annotations
+
+import glob
+import os
+import shutil
+from datetime import timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from skytally import publish
+from skytally.layout import Lake
+from skytally.operators.quality import flag_quality
+from skytally.plans.batch import RunSettings, run_batch
+from skytally.sinks import lake as sinks
+from skytally.sinks.lake import label_hours, write_bronze, write_dimension, write_gold
+from skytally.sources.lake import (
+    commits, find_commit, read_bronze, read_latest, read_snapshot, uncommitted_files,
+)
+from skytally.sources.runs import read_run_metrics
+
+BRONZE_ONLY = RunSettings(load_silver_gold=False, save_quality_report=False)
+
+
+@pytest.fixture
+def lake(tmp_path):
+    return Lake(str(tmp_path / "lake"))
+
+
+def ids(df):
+    return sorted(r.flight_id for r in df.select("flight_id").collect())
+
+
+def test_retry_after_an_append_lost_before_its_commit(spark, lake, observations, run_ts):
+    rows = observations(*({"flight_id": f"f{i}"} for i in range(8))).repartition(4)
+    assert run_batch(rows, lake, run_ts, "b1", settings=BRONZE_ONLY)
+    files = sorted(glob.glob(f"{lake.bronze}/**/*.parquet", recursive=True))
+    assert len(files) > 1
+    for path in files[: len(files) // 2]:
+        os.remove(path)
+    shutil.rmtree(lake.bronze_commits)
+    write_bronze(label_hours(flag_quality(observations({"flight_id": "other"})), run_ts), lake, batch_id="b0")
+    assert ids(read_bronze(spark, lake)) == ["other"]
+    assert run_batch(rows, lake, run_ts, "b1", settings=BRONZE_ONLY)
+    assert ids(read_bronze(spark, lake)) == sorted(["other", *(f"f{i}" for i in range(8))])
+    left = uncommitted_files(spark, lake)
+    assert {os.path.basename(r.path) for r in left.collect()} == {os.path.basename(p) for p in files[len(files) // 2:]}
+
+
+def test_append_that_fails_leaves_no_rows(spark, lake, observations, run_ts):
+    rows = observations(*({"flight_id": f"f{i}"} for i in range(6))).repartition(3)
+    broken = rows.withColumn("callsign", F.when(F.col("flight_id") == "f3", F.raise_error(F.lit("lost"))).otherwise(F.col("callsign")))
+    assert not run_batch(broken, lake, run_ts, "b1", settings=BRONZE_ONLY)
+    assert commits(spark, lake).count() == 0
+    assert run_batch(rows, lake, run_ts, "b1", settings=BRONZE_ONLY)
+    assert ids(read_bronze(spark, lake)) == [f"f{i}" for i in range(6)]
+
+
+def test_two_retries_at_once_count_once(spark, lake, observations, run_ts):
+    rows = label_hours(flag_quality(observations({"flight_id": "a"}, {"flight_id": "b"})), run_ts)
+    for _ in range(2):
+        write_bronze(rows, lake, batch_id="b1")
+    known = commits(spark, lake).collect()
+    assert [(r.batch, r.row_count, r.hours) for r in known] == [("b1", 2, ["2026/2026-06/2026-06-21/14"])]
+    assert find_commit(spark, lake, run_ts, "b1").attempt == known[0].attempt
+    assert ids(read_bronze(spark, lake)) == ids(read_bronze(spark, lake, day="2026-06-21")) == ["a", "b"]
+    assert uncommitted_files(spark, lake).count() >= 1
+    assert find_commit(spark, lake, run_ts, "b2") is None
+
+
+def test_rows_lost_after_the_commit_fail_the_run(spark, lake, observations, run_ts):
+    rows = observations(*({"flight_id": f"f{i}"} for i in range(8))).repartition(4)
+    assert run_batch(rows, lake, run_ts, "b1", settings=BRONZE_ONLY)
+    os.remove(glob.glob(f"{lake.bronze}/**/*.parquet", recursive=True)[0])
+    assert not run_batch(rows, lake, run_ts, "b1", settings=BRONZE_ONLY)
+    last = read_run_metrics(spark, lake.run_metrics).orderBy(F.desc("end_time")).first()
+    assert [e.type for e in last.errors] == ["bronze_incomplete"]
+
+
+def test_commits_of_many_days_and_of_one(spark, lake, observations, run_ts):
+    flagged = flag_quality(observations({"flight_id": "a"}, {"flight_id": "b", "extraction_timestamp": run_ts - timedelta(days=3)}))
+    write_bronze(label_hours(flagged, F.col("extraction_timestamp")), lake, many_hours=True)
+    write_bronze(label_hours(flag_quality(observations({"flight_id": "c"})), run_ts), lake)
+    assert ids(read_bronze(spark, lake)) == ["a", "b", "c"]
+    assert ids(read_bronze(spark, lake, day="2026-06-21")) == ["a", "c"]
+    assert ids(read_bronze(spark, lake, day="2026-06-18")) == ["b"]
+    assert read_bronze(spark, lake, day="2026-06-19").count() == 0
+
+
+def test_history_without_commits_is_read_as_it_stands(spark, lake, observations, run_ts):
+    label_hours(flag_quality(observations()), run_ts).write.partitionBy(
+        "tech_year", "tech_month", "tech_day", "tech_hour").parquet(lake.bronze)
+    assert read_bronze(spark, lake).count() == read_bronze(spark, lake, day="2026-06-21").count() == 1
+
+
+def test_dimension_write_lost_half_way_leaves_the_old_snapshot(spark, lake, monkeypatch):
+    path = lake.dimension("dim_x")
+    write_dimension(spark.range(5), path)
+    with pytest.raises(Exception, match="lost"):
+        write_dimension(spark.range(9).select(F.when(F.col("id") == 8, F.raise_error(F.lit("lost"))).otherwise(F.col("id")).alias("id")), path)
+    assert read_snapshot(spark, path).count() == 5
+    with monkeypatch.context() as patched:
+        def gone(*args, **kwargs):
+            raise OSError("driver lost")
+        patched.setattr(sinks, "move_pointer", gone)
+        with pytest.raises(OSError):
+            write_dimension(spark.range(7), path)
+    assert read_snapshot(spark, path).count() == 5
+    write_dimension(read_snapshot(spark, path).where("id > 1"), path)  # from itself
+    assert sorted(r.id for r in read_snapshot(spark, path).collect()) == [2, 3, 4]
+
+
+def test_pointer_keeps_two_slots_and_survives_a_lost_move(spark, lake, tmp_path):
+    path = lake.dimension("dim_x")
+    assert publish.read_pointer(spark, path) is None
+    for n in range(5):
+        publish.move_pointer(spark, path, f"version={n}", n)
+    assert (publish.read_pointer(spark, path).target, publish.read_pointer(spark, path).sequence) == ("version=4", 4)
+    assert sorted(os.listdir(f"{path}/_pointer")) == ["slot=0", "slot=1"]
+    shutil.rmtree(f"{path}/_pointer/slot=1")  # the next move has deleted its slot and then died
+    assert publish.read_pointer(spark, path).target == "version=4"
+
+
+def test_snapshot_without_a_pointer_is_read_in_place(spark, lake):
+    spark.range(3).write.parquet(lake.dimension("dim_x"))
+    assert read_snapshot(spark, lake.dimension("dim_x")).count() == 3
+
+
+def gold(spark, at, *values):
+    return spark.createDataFrame([(v,) for v in values], "v string").withColumn("computed_at", F.lit(at))
+
+
+def test_latest_snapshot_reads_one_hour(spark, lake, run_ts):
+    for hours in range(4):
+        at = run_ts + timedelta(hours=hours)
+        write_gold(gold(spark, at, f"h{hours}"), lake, "kpi_x", at)
+    latest = read_latest(spark, lake, "kpi_x")
+    assert [r.v for r in latest.collect()] == ["h3"]
+    assert {os.path.dirname(p).split("tech_hour=")[1] for p in latest.inputFiles()} == {"17"}
+    plan = latest._jdf.queryExecution().executedPlan().toString()
+    assert "(1 paths)" in plan[plan.index("Location:"):].split("]")[0]
+
+
+def test_latest_snapshot_after_late_and_cleared_hours(spark, lake, run_ts):
+    later = run_ts + timedelta(hours=2)
+    write_gold(gold(spark, later, "new"), lake, "kpi_x", later)
+    write_gold(gold(spark, run_ts, "late"), lake, "kpi_x", run_ts)
+    assert [r.v for r in read_latest(spark, lake, "kpi_x").collect()] == ["new"]
+    write_gold(gold(spark, later).limit(0), lake, "kpi_x", later + timedelta(hours=1))  # nothing to show an hour later
+    assert [r.v for r in read_latest(spark, lake, "kpi_x").collect()] == ["new"]
+    write_gold(gold(spark, later).limit(0), lake, "kpi_x", later)
+    assert [r.v for r in read_latest(spark, lake, "kpi_x").collect()] == ["late"]
+    write_gold(gold(spark, later, "again"), lake, "kpi_x", later)
+    assert [r.v for r in read_latest(spark, lake, "kpi_x").collect()] == ["again"]
+
+
+def scanned_rows(df):
+    """Rows that the file scans of a query handed on, after row groups were skipped."""
+    df.collect()
+    plan, total = df._jdf.queryExecution().executedPlan(), 0
+    leaves = plan.collectLeaves()
+    for i in range(leaves.size()):
+        total += leaves.apply(i).metrics().apply("numOutputRows").value()
+    return total
+
+
+def test_looking_for_a_flight_skips_row_groups(spark, lake, observations, run_ts):
+    base = label_hours(flag_quality(observations()), run_ts)
+    flights = spark.range(0, 40_000, 1, 8).select(F.sha2(F.col("id").cast("string"), 256).alias("k"), "id")
+    rows = flights.crossJoin(F.broadcast(base)).withColumn("flight_id", F.col("k")).select(*base.columns)
+    write_bronze(rows, lake, batch_id="b1")
+    wanted = flights.where("id = 777").first().k
+    found = read_bronze(spark, lake, flight_id=wanted)
+    assert scanned_rows(read_bronze(spark, lake)) == 40_000
+    assert [r.flight_id for r in found.collect()] == [wanted]
+    assert scanned_rows(found) <= 5_000  # one of eight files, which all span the whole range of names
+    assert scanned_rows(read_bronze(spark, lake, flight_id=wanted[:-1] + "g")) == 0
+    size = sum(os.path.getsize(p) for p in glob.glob(f"{lake.bronze}/**/*.parquet", recursive=True))
+    assert size < 6 << 20  # filters are sized to the flights
+
+
+def test_a_batch_is_read_from_its_own_folders(spark, lake, observations, run_ts):
+    for batch in ("b1", "b2"):
+        assert run_batch(observations({"flight_id": batch}), lake, run_ts, batch, settings=BRONZE_ONLY)
+    write_bronze(label_hours(flag_quality(observations({"flight_id": "x", "batch_id": "b1"})), run_ts), lake)
+    found = read_bronze(spark, lake, batch_id="b1")
+    assert ids(found) == ["b1", "x"]
+    assert scanned_rows(found) == 2

@@ -11,7 +11,7 @@ from skytally.layout import Lake
 from skytally.operators.quality import flag_quality
 from skytally.plans.batch import RunSettings, replay, run_batch
 from skytally.sinks.lake import label_hours, write_bronze, write_dimension, write_fact, write_gold
-from skytally.sources.lake import latest_snapshot, read_bronze, read_latest
+from skytally.sources.lake import latest_snapshot, read_bronze, read_latest, read_snapshot
 from skytally.sources.runs import read_run_metrics
 
 
@@ -72,7 +72,7 @@ def test_gold_keeps_one_snapshot_per_hour_and_an_empty_result_clears_it(spark, l
 def test_dimension_snapshot_is_replaced(spark, lake):
     write_dimension(spark.range(5), lake.dimension("dim_x"))
     write_dimension(spark.range(2), lake.dimension("dim_x"))
-    assert spark.read.parquet(lake.dimension("dim_x")).count() == 2
+    assert read_snapshot(spark, lake.dimension("dim_x")).count() == 2
 
 
 def test_latest_snapshot(spark, lake, run_ts):
@@ -102,8 +102,8 @@ def test_batch_success(spark, lake, observations, run_ts):
     assert ok is True
     assert read_bronze(spark, lake, batch_id="r1").count() == 5
     assert spark.read.parquet(lake.fact).count() == 5
-    assert spark.read.parquet(lake.dimension("dim_countries_continents")).count() == 4
-    assert spark.read.parquet(lake.dimension("dim_airports")).count() == 6
+    assert read_snapshot(spark, lake.dimension("dim_countries_continents")).count() == 4
+    assert read_snapshot(spark, lake.dimension("dim_airports")).count() == 6
     doc = run_document(spark, lake)
     assert (doc.batch_id, doc.status, doc.num_errors) == ("r1", "success", 0)
     assert (doc.extraction.rows, doc.validation.valid_rows, doc.validation.pct_valid) == (5, 4, 80.0)

@@ -201,7 +201,7 @@ def test_a_large_hour_is_written_by_several_tasks(spark, tmp_path, observations)
         write_bronze(label_hours(rows, at), lake, many_hours=True)
     finally:
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
-    files = Counter(p.split("tech_hour=")[1][:2] for p in glob.glob(f"{lake.bronze}/*/*/*/*/*.parquet"))
+    files = Counter(p.split("tech_hour=")[1][:2] for p in glob.glob(f"{lake.bronze}/*/*/*/*/attempt=*/*.parquet"))
     assert files["14"] > 1
     assert Counter(n for hour, n in files.items() if hour != "14")[1] >= 3
     assert spark.read.parquet(lake.bronze).count() == 120_000

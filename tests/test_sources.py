@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import glob
 import json
 import os
 from datetime import datetime, timedelta, timezone
@@ -192,7 +193,7 @@ def test_freshness_and_refresh(spark, tmp_path, run_ts):
     assert name(refs.fresh_or_refreshed(spark, path, breaks_while_running, later)) == "one"
 
     def from_itself():
-        return spark.read.parquet(path).unionByName(table("two")).orderBy(F.desc("airline_name")).limit(1)
+        return refs.read_snapshot(spark, path).unionByName(table("two")).orderBy(F.desc("airline_name")).limit(1)
 
     assert name(refs.fresh_or_refreshed(spark, path, from_itself, later)) == "two"
     refs.fresh_or_refreshed(spark, path, lambda: table("one"), later)
@@ -202,7 +203,7 @@ def test_freshness_and_refresh(spark, tmp_path, run_ts):
 def test_freshness_counts_days_from_the_newest_file(spark, tmp_path):
     path = str(tmp_path / "dim")
     write_dimension(spark.range(10).repartition(3), path)
-    files = [os.path.join(path, f) for f in os.listdir(path) if f.endswith(".parquet")]
+    files = glob.glob(f"{path}/version=*/*.parquet")
     newest = datetime(2026, 1, 10, tzinfo=timezone.utc)
     for i, f in enumerate(files):
         at = (newest - timedelta(days=i)).timestamp()
