@@ -1,6 +1,6 @@
 """License scans by template markup: regions become token automata, mandatory words must match.
 
-Markup of a template, all words lower-case:
+Markup of a template, which is a license text otherwise as it stands (case and marks do not count):
 
 * ``word``            mandatory wording, matched exactly;
 * ``[[ ... ]]``       optional region, may nest;
@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -46,6 +47,65 @@ TEMPLATES = (
     ("all-rights-reserved", "copyright [[c]] {{1..12}} all rights reserved"),
 )
 
+# Whole license texts, label first. Names, list marks and the wordings that are commonly
+# exchanged are regions.
+PERMISSIVE_DISCLAIMER = """
+THIS SOFTWARE IS PROVIDED BY {{1..12}} "AS IS" AND ANY [[EXPRESS OR]] [[EXPRESSED OR]] IMPLIED WARRANTIES, INCLUDING, BUT NOT
+LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL
+{{1..12}} BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT
+LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER
+CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE)
+ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.
+"""
+TWO_CLAUSES = """
+Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following
+conditions are met: [[<1/a>]] Redistributions of source code must retain the above copyright notice, this list of conditions
+and the following disclaimer. [[<2/b>]] Redistributions in binary form must reproduce the above copyright notice, this list of
+conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.
+"""
+LICENSE_TEXTS = (
+    ("mit", """
+Permission is hereby granted, free of charge, to any person obtaining a copy of this <software/work/code> and associated
+documentation files [[(the "Software")]], to deal in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to
+whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission
+notice [[(including the next paragraph)]] shall be included in all copies or substantial portions of the Software.
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE
+WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL {{1..12}} BE LIABLE FOR
+ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN
+CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""),
+    ("bsd-2-clause", TWO_CLAUSES + PERMISSIVE_DISCLAIMER),
+    ("bsd-3-clause", TWO_CLAUSES + """
+[[<3/c>]] Neither the name of {{1..15}} nor the names of [[its]] [[{{1..3}}]] contributors may be used to endorse or promote
+products derived from this software without specific prior written permission.""" + PERMISSIVE_DISCLAIMER),
+    ("isc", """
+Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted,
+provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED "AS IS" AND
+{{1..6}} DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS.
+IN NO EVENT SHALL {{1..6}} BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER
+RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT
+OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."""),
+    ("zlib", """
+This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any
+damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including
+commercial applications, and to alter it and redistribute it freely, subject to the following restrictions: [[1]] The origin of
+this software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a
+product, an acknowledgment in the product documentation would be appreciated but is not required. [[2]] Altered source versions
+must be plainly marked as such, and must not be misrepresented as being the original software. [[3]] This notice may not be
+removed or altered from any source distribution."""),
+    ("apache-2.0", """
+Licensed under the Apache License, Version 2.0 [[(the "License")]]; you may not use this <file/software/work> except in compliance
+with the License. You may obtain a copy of the License at [[{{1..8}}]] Unless required by applicable law or agreed to in writing,
+software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either
+express or implied. See the License for the specific language governing permissions and limitations under the License."""),
+    ("gpl-3.0", """
+[[This {{1..4}} is free software:]] you can redistribute it and/or modify it under the terms of the GNU General Public License as
+published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version. {{1..6}} is
+distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or
+FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details."""),
+)
+ALL_TEMPLATES = TEMPLATES + LICENSE_TEXTS
+
 PIECE = re.compile(r"\[\[|\]\]|\{\{(\d+)\.\.(\d+)\}\}|<([^>]+)>|([^\s\[\]{}<>]+)")
 
 
@@ -78,7 +138,7 @@ class Automaton:
         begin = now = self.state()
         opened, mandatory = [], []
         for piece in PIECE.finditer(template):
-            low, high, listed, word = piece.groups()
+            low, high, listed, wording = piece.groups()
             if piece[0] == "[[":
                 opened.append(now)
                 continue
@@ -93,16 +153,19 @@ class Automaton:
                         self.empty[now].add(nxt)
                     now = nxt
                 continue
-            nxt = self.state()
-            for w in (listed.split("/") if listed else [word]):
-                self.words[now].setdefault(w.encode(), set()).add(nxt)
-            if word and not opened:
-                mandatory.append(word)
-            now = nxt
+            # a listed region is one step with a choice, wording one step for each of its words
+            choices = [split_words(listed.encode().replace(b"/", b" "))] if listed else [[w] for w in split_words(wording.encode())]
+            for choice in choices:
+                nxt = self.state()
+                for w in choice:
+                    self.words[now].setdefault(w, set()).add(nxt)
+                if wording and not opened:
+                    mandatory.append(choice[0])
+                now = nxt
         if opened or not mandatory:
             raise ValueError(f"template without mandatory word or with an open region: {template}")
         self.labels[now] = label
-        self.anchors.add(max(mandatory, key=len).encode())
+        self.anchors.add(max(mandatory, key=len))
         first = self.closure({begin})
         if now in first or any(self.free[s] for s in first):
             raise ValueError(f"template must begin with wording: {template}")
@@ -134,13 +197,19 @@ class Automaton:
                 for label, end in sorted(self.run(words, i).items())]
 
 
-def compile_templates(templates=TEMPLATES) -> Automaton:
+def compile_templates(templates=ALL_TEMPLATES) -> Automaton:
     automaton = Automaton()
     for label, template in templates:
         automaton.add(label, template)
     return automaton
 
 
+@lru_cache(maxsize=4)
+def compiled(templates) -> Automaton:
+    """One automaton per Python worker."""
+    return compile_templates(templates)
+
+
 def base_places(words: list[bytes], phrases: list[tuple[list[bytes], str]]) -> list[tuple[int, str]]:
     """(first word, label) of every place where a phrase's words stand one after another."""
     found = []
@@ -161,7 +230,7 @@ SCHEMA = ("doc_id long, n_words long, n_base long, first_word long, last_word lo
           "base_labels string, labels string, score double, matches array<struct<label:string,first:long,end:long>>")
 
 
-def scan_licenses(documents: DataFrame, templates=TEMPLATES) -> DataFrame:
+def scan_licenses(documents: DataFrame, templates=ALL_TEMPLATES) -> DataFrame:
     """License notices of every document.
 
     Reads doc_id and text, ignores other columns. Null and empty texts have no words and score
@@ -171,7 +240,7 @@ def scan_licenses(documents: DataFrame, templates=TEMPLATES) -> DataFrame:
     at a time; no shuffle.
     """
     def scan(batch: pa.RecordBatch) -> dict:
-        automaton = compile_templates(templates)
+        automaton = compiled(templates)
         phrases = [([w.encode() for w in p.split()], label) for p, label in BASE_PHRASES.items()]
         out: dict[str, list] = {n: [] for n in (
             "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "matches")}
