@@ -10,18 +10,25 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 class Rows:
-    """Sparse binary rows: ``items`` are feature numbers, row i's from ``starts[i]``."""
+    """Sparse rows: the feature numbers of each, and their values, by default 1."""
 
-    def __init__(self, rows: list[np.ndarray], n_features: int):
+    def __init__(self, rows: list[np.ndarray], n_features: int, values: list[np.ndarray] | None = None):
         self.items = np.concatenate([np.zeros(0, np.int64), *rows]).astype(np.int64)
         self.row = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+        self.values = None if values is None else np.concatenate([np.zeros(0), *values])
         self.n, self.n_features = len(rows), n_features
 
     def dot(self, w: np.ndarray) -> np.ndarray:
-        return np.bincount(self.row, weights=w[self.items], minlength=self.n)
+        x = w[self.items]
+        return np.bincount(self.row, weights=x if self.values is None else x * self.values, minlength=self.n)
 
     def back(self, g: np.ndarray) -> np.ndarray:
-        return np.bincount(self.items, weights=g[self.row], minlength=self.n_features)
+        x = g[self.row]
+        return np.bincount(self.items, weights=x if self.values is None else x * self.values, minlength=self.n_features)
+
+    def largest_square(self) -> float:
+        """The largest squared length of a row."""
+        return np.bincount(self.row, weights=None if self.values is None else self.values ** 2, minlength=max(self.n, 1)).max(initial=0)
 
 
 def fit(rows: Rows, target: np.ndarray, l2: float, steps: int = 400,
@@ -34,8 +41,7 @@ def fit(rows: Rows, target: np.ndarray, l2: float, steps: int = 400,
     n = max(rows.n, 1)
     prior = float(np.clip(target.mean(), 1e-4, 1 - 1e-4)) if rows.n else 0.5
     w, b = np.zeros(rows.n_features), float(np.log(prior / (1 - prior)))
-    per_row = np.bincount(rows.row, minlength=n)
-    bound = 0.25 * (per_row.max(initial=0) + 1) + l2 / n
+    bound = 0.25 * (rows.largest_square() + 1) + l2 / n
     if left is not None and left.n:
         width = np.bincount(left.row, minlength=left.n) + np.bincount(right.row, minlength=left.n)
         bound += equal * float(width.sum()) / n

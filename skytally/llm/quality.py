@@ -3,12 +3,15 @@
 Several overlapping heuristic labellers vote good, bad or abstain on every document. Expectation
 maximisation over the counts of vote patterns estimates each labeller's accuracy without any
 true label; the posterior of a document's pattern is its weak label. A hashed linear scorer
-fitted to the posteriors of a bounded sample then scores every text, also where all abstain.
+fitted to the posteriors of a bounded sample then scores every text, also where all abstain. It
+sees words, word ends and word shapes, which no labeller looks at, besides the measures.
 """
 
 from __future__ import annotations
 
+import re
 import zlib
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -21,8 +24,9 @@ from skytally.llm.linear import Rows, fit, sigmoid
 GOOD, BAD, ABSTAIN = 1, 0, 2
 
 # How many weakly labelled rows the scorer is fitted to, and into how many features texts hash.
-TRAIN_ROWS = 20_000
-N_FEATURES = 1 << 12
+TRAIN_ROWS = 4_000
+N_FEATURES = 1 << 15
+L2 = 0.05
 EM_STEPS = 60
 
 # What follows ordinary words in running text.
@@ -72,18 +76,41 @@ def votes(text: bytes) -> list[int]:
     return [rule(m) if m["words"] else ABSTAIN for _, rule in LABELLERS]
 
 
-def hashed(text: bytes) -> set[int]:
-    """Features of a text: its measures in steps, and the shapes of its word ends."""
+def shape(word: bytes) -> bytes:
+    """The kinds of a word's bytes, repetitions left out: A, a, 0, letters beyond ASCII as e, marks as they are."""
+    return REPEATED.sub(rb"\1", word.translate(KINDS))
+
+
+KINDS = bytes(65 if 65 <= c <= 90 else 97 if 97 <= c <= 122 else 48 if 48 <= c <= 57 else 101 if c >= 128 else c for c in range(256))
+REPEATED = re.compile(rb"(.)\1+", re.DOTALL)
+
+
+@lru_cache(maxsize=1 << 17)
+def word_features(word: bytes) -> tuple[int, int, int]:
+    """Features of a word: itself, its end, its shape."""
+    return (zlib.crc32(word) % N_FEATURES, zlib.crc32(b"end " + word[-3:]) % N_FEATURES, zlib.crc32(b"shape " + shape(word)) % N_FEATURES)
+
+
+def hashed(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """(features, values) of a text: the words of the whole text with their ends and shapes, and its measures in steps.
+
+    Words' features have a squared sum of one together, each measure one of its own, so that
+    neither long texts nor the many words weigh down the rest.
+    """
+    of_words = np.fromiter({i for w in set(text.split()) for i in word_features(w)}, np.int64)
     m = measures(text)
-    names = [f"{k}:{int(np.log2(v + 1)) if k == 'words' else int(v * 20) if v < 1 else 20 + int(min(v, 64))}"
-             for k, v in m.items()]
-    return {zlib.crc32(x.encode()) % N_FEATURES for x in names}
+    names = [f"{k}:{int(np.log2(v + 1)) if k == 'words' else int(v * 20) if v < 1 else 20 + int(min(v, 64))}" for k, v in m.items()]
+    of_text = np.array([zlib.crc32(x.encode()) % N_FEATURES for x in names], np.int64)
+    return (np.concatenate([np.sort(of_words), of_text]),
+            np.concatenate([np.full(len(of_words), 1 / np.sqrt(max(len(of_words), 1))), np.ones(len(of_text))]))
 
 
 def expectation_maximisation(patterns: np.ndarray, counts: np.ndarray, steps: int = EM_STEPS):
     """Posterior of "good" per vote pattern, and per labeller P(vote | class, not abstaining) of shape (k, 2, 3).
 
     Starts from the vote majority, so the classes keep their meaning; counts are smoothed by one.
+    At the start a bad vote counts twice: most rules take any ordinary text for good, so good votes
+    say less than bad ones until the accuracies are known.
     That a labeller abstains says nothing, so short texts, on which few vote, count as neither;
     only of the one-sided labeller it is a vote too.
     """
@@ -124,17 +151,24 @@ def fit_quality(documents: DataFrame, train_rows: int = TRAIN_ROWS):
 
     def example(batch: pa.RecordBatch) -> dict:
         texts = as_bytes(batch.column("text"))
-        return {"items": [sorted(hashed(t)) for t in texts],
+        return {"items": [hashed(t)[0].astype("<i4").tobytes() for t in texts],
+                "measures": [len(measures(t)) for t in texts],
                 "target": [posterior["".join(map(str, votes(t)))] for t in texts]}
 
     ids = (documents.select("doc_id").where("doc_id is not null").distinct()
            .orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_rows))
     sample = documents.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("text")
-    table_rows = (map_batches(sample, example, "items array<int>, target double")
-                  .groupBy("items", "target").count().orderBy("items", "target").limit(train_rows).collect())
-    items = [np.array(r["items"], np.int64) for r in table_rows for _ in range(min(r["count"], train_rows))]
-    target = np.array([r["target"] for r in table_rows for _ in range(min(r["count"], train_rows))], float)
-    w, b = fit(Rows(items, N_FEATURES), target, 1.0)
+    table_rows = (map_batches(sample, example, "items binary, measures int, target double")
+                  .groupBy("items", "measures", "target").count().orderBy("items", "target").limit(train_rows).collect())
+    items, values, target = [], [], []
+    for r in table_rows:  # equal rows are one with a count
+        features = np.frombuffer(r["items"], "<i4").astype(np.int64)
+        n = len(features) - r["measures"]
+        for _ in range(min(r["count"], train_rows)):
+            items.append(features)
+            values.append(np.concatenate([np.full(n, 1 / np.sqrt(max(n, 1))), np.ones(r["measures"])]))
+            target.append(r["target"])
+    w, b = fit(Rows(items, N_FEATURES, values), np.array(target, float), L2, steps=200)
     return posterior, table, w, b
 
 
@@ -147,12 +181,11 @@ def score_quality(documents: DataFrame, model) -> DataFrame:
     are ignored; whole texts, no shuffle.
     """
     posterior, _, w, b = model
-    used = {int(i): float(w[i]) for i in np.flatnonzero(w)}
 
     def score(batch: pa.RecordBatch) -> dict:
         texts = as_bytes(batch.column("text"))
         given = [votes(t) for t in texts]
-        s = sigmoid(np.array([b + sum(used.get(i, 0.0) for i in sorted(hashed(t))) for t in texts], float))
+        s = sigmoid(np.array([b + float(w[features] @ values) for features, values in map(hashed, texts)], float))
         s[[not t.split() for t in texts]] = 0.0
         return {"doc_id": batch.column("doc_id").cast(pa.int64()),
                 "n_votes": [sum(v != ABSTAIN for v in g) for g in given],
