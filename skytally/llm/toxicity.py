@@ -20,11 +20,21 @@ from skytally.llm.linear import Rows, fit, sigmoid
 
 # Groups of neutral identity terms; members of a group may stand for each other.
 IDENTITY_GROUPS = (
+    # English
     ("men", "women"), ("man", "woman"), ("boys", "girls"), ("male", "female"),
     ("gay", "straight", "lesbian", "bisexual"), ("transgender", "cisgender"),
     ("black", "white", "asian", "latino"), ("muslim", "christian", "jewish", "hindu", "buddhist"),
     ("muslims", "christians", "jews", "hindus", "buddhists"),
     ("old", "young"), ("immigrants", "natives"), ("deaf", "blind"),
+    # German
+    ("männer", "frauen"), ("mann", "frau"), ("jungen", "mädchen"), ("schwul", "lesbisch", "bisexuell"),
+    ("muslime", "christen", "juden", "hindus", "buddhisten"), ("alte", "junge"), ("gehörlos", "blind"),
+    # French
+    ("hommes", "femmes"), ("homme", "femme"), ("garçons", "filles"), ("gay", "lesbienne", "bisexuelle"),
+    ("musulmans", "chrétiens", "juifs", "hindous", "bouddhistes"), ("vieux", "jeunes"), ("sourds", "aveugles"),
+    # Spanish
+    ("hombres", "mujeres"), ("hombre", "mujer"), ("niños", "niñas"), ("gay", "lesbiana", "bisexual"),
+    ("musulmanes", "cristianos", "judíos", "hindúes", "budistas"), ("viejos", "jóvenes"), ("sordos", "ciegos"),
 )
 
 # How many labelled rows the fit may see, and how many features it may keep.
@@ -65,10 +75,11 @@ def count_features(batch: pa.RecordBatch) -> dict:
 
 
 def fit_toxicity(documents: DataFrame, labels: DataFrame, keep=None, label: str = "toxic",
-                 train_rows: int = TRAIN_ROWS, equal: float = EQUAL) -> tuple[dict[int, float], float]:
+                 train_rows: int = TRAIN_ROWS, equal: float = EQUAL, groups=IDENTITY_GROUPS) -> tuple[dict[int, float], float]:
     """Weight per word hash, and the bias.
 
-    ``keep`` is the condition on ``labels`` that a training row meets. Labels other than 0 and
+    ``groups`` are the terms that may stand for each other, in lower case; where no labelled text
+    holds any, the penalty acts on nothing (see ``swap_report``). ``keep`` is the condition on ``labels`` that a training row meets. Labels other than 0 and
     1 are ignored; a document labelled twice counts once, with the larger label. Without any
     labelled row the model is empty and every score 0.5.
     """
@@ -84,7 +95,7 @@ def fit_toxicity(documents: DataFrame, labels: DataFrame, keep=None, label: str
               .groupBy("feature").agg(F.sum("n").alias("n"), F.sum("pos").alias("pos"))
               .where(F.col("n") >= LEAST_ROWS).withColumn("z", F.abs(z)).where(F.col("z") >= LEAST_Z)
               .orderBy(F.desc("z"), "feature").limit(MAX_FEATURES).select("feature").collect())
-    groups = [[zlib.crc32(t.encode()) for t in g] for g in IDENTITY_GROUPS]
+    groups = group_hashes(groups)
     features = sorted({r["feature"] for r in chosen} | {h for g in groups for h in g})
     number = {h: i for i, h in enumerate(features)}
 
@@ -113,6 +124,50 @@ def fit_toxicity(documents: DataFrame, labels: DataFrame, keep=None, label: str
     return {h: float(w[i]) for h, i in number.items() if w[i]}, b
 
 
+def group_hashes(groups) -> list[list[int]]:
+    return [[zlib.crc32(t.encode()) for t in g] for g in groups]
+
+
+SWAPS = ("rows_with_terms long, swap_pairs long, gap_without double, gap_with double, "
+         "negatives long, false_without long, false_with long")
+
+
+def swap_report(documents: DataFrame, labels: DataFrame, without: tuple[dict[int, float], float],
+                fitted: tuple[dict[int, float], float], keep=None, label: str = "toxic", groups=IDENTITY_GROUPS) -> DataFrame:
+    """One row on what the penalty did, over the labelled documents that ``keep`` selects.
+
+    ``swap_pairs`` are texts with one term exchanged for another of its group; ``gap_without`` and
+    ``gap_with`` the mean change of score by an exchange, under a model without the penalty and
+    the fitted one; ``negatives`` the texts with a term and label 0, ``false_without`` and
+    ``false_with`` how many of them either model calls toxic. All zero where no text has a term.
+    """
+    hashes = group_hashes(groups)
+
+    def run(batch: pa.RecordBatch) -> dict:
+        out = np.zeros(7)
+        for text, y in zip(as_bytes(batch.column("text")), batch.column("y").to_pylist(), strict=True):
+            present = word_hashes(text)
+            swaps = {(i, j) for g in hashes for i in g if i in present for j in g if j not in present}
+            if not swaps:
+                continue
+            scores = []
+            for weights, bias in (without, fitted):
+                z = bias + sum(weights[h] for h in sorted(present & weights.keys()))
+                changed = np.array([z - weights.get(i, 0.0) + weights.get(j, 0.0) for i, j in sorted(swaps)])
+                scores.append((float(sigmoid(z)), float(np.abs(sigmoid(changed) - sigmoid(z)).sum())))
+            out += [1, len(swaps), scores[0][1], scores[1][1], y == 0, y == 0 and scores[0][0] >= 0.5, y == 0 and scores[1][0] >= 0.5]
+        names = [c.split()[0] for c in SWAPS.split(", ")]
+        return {n: [int(v) if n[:3] != "gap" else float(v)] for n, v in zip(names, out, strict=True)}
+
+    marked = (labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & (F.lit(True) if keep is None else keep))
+              .groupBy("doc_id").agg(F.max(label).cast("int").alias("y")))
+    rows = documents.select("doc_id", "text").join(marked, "doc_id").select("text", "y")
+    total = map_batches(rows, run, SWAPS).agg(*(
+        F.coalesce(F.sum(c.split()[0]), F.lit(0)).alias(c.split()[0]) for c in SWAPS.split(", ")))
+    mean = lambda c: F.when(F.col("swap_pairs") > 0, F.col(c) / F.col("swap_pairs")).otherwise(0.0)
+    return total.withColumns({c: mean(c) for c in ("gap_without", "gap_with")})
+
+
 def score_toxicity(documents: DataFrame, model: tuple[dict[int, float], float]) -> DataFrame:
     """(doc_id, score, predicted) of every row; null and empty texts get the bias's score.
 

@@ -58,6 +58,27 @@ def test_counterfactual_penalty_lowers_false_positives(spark):
     assert abs(scores[50.0][0] - scores[50.0][1]) < abs(scores[0.0][0] - scores[0.0][1])
 
 
+def test_report_says_what_the_penalty_acts_on(spark, tables):
+    rows, labels = corpus(2000, np.random.default_rng(0))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic string")
+    marks = spark.createDataFrame(labels, "doc_id long, toxic int")
+    without, fitted = toxicity.fit_toxicity(docs, marks, equal=0.0), toxicity.fit_toxicity(docs, marks, equal=50.0)
+    report = toxicity.swap_report(docs, marks, without, fitted).first()
+    faiths = {"muslim", "christian", "jewish", "hindu", "buddhist"}
+    held = [(set(t.split()) & faiths, y) for (_, t, _), (_, y) in zip(rows, labels, strict=True)]
+    assert report.rows_with_terms == sum(bool(f) for f, _ in held)
+    assert report.swap_pairs == sum(len(f) * (5 - len(f)) for f, _ in held)
+    assert report.negatives == sum(bool(f) and not y for f, y in held)
+    assert report.gap_with < 0.2 * report.gap_without and report.false_with < report.false_without
+    own = (("town", "village"),)
+    other = toxicity.swap_report(docs, marks, without, toxicity.fit_toxicity(docs, marks, groups=own), groups=own).first()
+    assert other.swap_pairs == sum("town" in t.split() for _, t, _ in rows)
+    nothing = toxicity.swap_report(docs, marks, without, fitted, groups=(("nowhere", "nobody"),)).first()
+    assert tuple(nothing) == (0,) * 7
+    german = spark.createDataFrame([(1, "Die Männer und die Mädchen", "x")], "doc_id long, text string, toxic string")
+    assert toxicity.swap_report(german, spark.createDataFrame([(1, 0)], "doc_id long, toxic int"), without, fitted).first().swap_pairs == 2
+
+
 def test_fit_reaches_the_minimum():
     rng = np.random.default_rng(3)
     rows = [np.flatnonzero(rng.random(6) < 0.4) for _ in range(300)]
