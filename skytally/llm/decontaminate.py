@@ -167,7 +167,9 @@ def find_matches(index: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
 
     Exact places of one item that overlap are one match; ``near`` marks proximity matches, which
     keep their own span. Items without words or id are never found; repeated items count once;
-    repeated documents are matched each. An empty index gives no rows.
+    repeated documents are matched each, those of null texts without words. An empty index gives
+    no rows. A benchmark beyond BLOCK_BYTES is matched block by block; a block's matches are
+    written and its windows released before the next is read, so one block is held at a time.
     """
     spark = index.sparkSession
     pieces = stored(item_pieces(benchmark, window), "items")
@@ -176,7 +178,11 @@ def find_matches(index: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
     found = None
     for b in range(blocks):
         block = pieces.where(F.pmod(F.xxhash64("item_id", "piece"), F.lit(blocks)) == b).distinct().collect()
-        part = match_block(index, spark.sparkContext.broadcast(windows_of(block, window)), slop)
+        held = spark.sparkContext.broadcast(windows_of(block, window))
+        part = match_block(index, held, slop)
+        if blocks > 1:
+            part = stored(part, "block-matches")
+            held.destroy()
         found = part if found is None else found.unionByName(part)
     if blocks > 1:  # a document's matches are as many as its words and items allow
         found = (found.groupBy("segment", "ordinal", "doc_id", "n_words")
