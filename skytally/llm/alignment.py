@@ -14,32 +14,85 @@ vocabularies have bytes (some 600,000 for the public ones). It is collected and
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import re
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skytally.llm.bpe import chunks, encoder, public, vocabulary
+from skytally.llm.bpe import UNITS_KEPT, chunks, encoder, public, spread, vocabulary
 from skytally.llm.common import stored
 
+MARK = "▁"  # how a piece writes a space
 BYTE_LEVEL = "byte_bpe_50k.json"
 PIECES = "piece_bpe_32k.model"
 # A text that fills more than one document in this many is joined by broadcast: there are fewer such texts.
 COMMON_SHARE = 1000
 
+UNIT = re.compile(" +[^ ]*")
 
-@lru_cache(maxsize=2)
-def pieces(path: str):
-    """(processor, bytes of every piece, their lengths), once per Python worker."""
-    import sentencepiece
 
-    model = sentencepiece.SentencePieceProcessor(model_file=path)
-    tokens = [bytes([int(model.id_to_piece(i)[3:5], 16)]) if model.is_byte(i) else model.id_to_piece(i).replace("▁", " ").encode()
-              for i in range(model.get_piece_size())]
-    return model, tokens, np.array([len(t) for t in tokens], np.int64)
+class Pieces:
+    """A piece model that remembers the ids of what stands between spaces.
+
+    No piece has its space mark behind another character (checked), so pieces never reach across
+    the begin of a run of spaces and every such unit can be encoded by itself.
+    """
+
+    def __init__(self, path: str):
+        import sentencepiece
+
+        self.model = model = sentencepiece.SentencePieceProcessor(model_file=path)
+        names = [model.id_to_piece(i) for i in range(model.get_piece_size())]
+        self.tokens = [bytes([int(n[3:5], 16)]) if model.is_byte(i) else n.replace(MARK, " ").encode() for i, n in enumerate(names)]
+        self.size = np.array([len(t) for t in self.tokens], np.int64)
+        self.apart = not any(MARK in n.lstrip(MARK) for n in names)
+        self.forget()
+
+    def forget(self) -> None:
+        self.index: dict[str, int] = {}
+        self.flat = np.zeros(0, np.uint32)
+        self.begin, self.count, self.spelt = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)
+
+    def learn(self, units: Iterable[str]) -> None:
+        """Encode units not seen before. Each begins with the space that the model adds."""
+        units = [u for u in units if u not in self.index]
+        if not units:
+            return
+        found = self.model.encode([u[1:] for u in units])
+        # the model gives nothing for an empty text, but a lone space at a text's end is one piece
+        found = [ids if u != " " else [self.model.piece_to_id(MARK)] for u, ids in zip(units, found, strict=True)]
+        spelt = [b"".join(map(self.tokens.__getitem__, ids)) == u.encode() for u, ids in zip(units, found, strict=True)]
+        count = np.fromiter(map(len, found), np.int64, len(found))
+        self.index.update(zip(units, range(len(self.begin), len(self.begin) + len(units)), strict=True))
+        self.begin = np.concatenate([self.begin, len(self.flat) + np.cumsum(count) - count])
+        self.count, self.spelt = np.concatenate([self.count, count]), np.concatenate([self.spelt, spelt])
+        self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(found), np.uint32, int(count.sum()))])
+
+    def encode(self, texts: list[str]) -> list[np.ndarray | None]:
+        """Ids of texts that are not empty; None where a text's tokens do not spell it."""
+        if len(self.index) > UNITS_KEPT:
+            self.forget()
+        whole = [not self.apart or MARK in t for t in texts]
+        units = [[f" {t}"] if w else UNIT.findall(f" {t}") for t, w in zip(texts, whole, strict=True)]
+        self.learn(set().union(*units))
+        sizes = np.array([len(u) for u in units], np.int64)
+        code = np.fromiter((self.index[x] for u in units for x in u), np.int64, int(sizes.sum()))
+        count = self.count[code]
+        ends = np.concatenate([[0], np.cumsum(count)])[np.cumsum(sizes)]
+        wrong = np.concatenate([[0], np.cumsum(~self.spelt[code])])[np.concatenate([[0], np.cumsum(sizes)])]
+        parts = np.split(self.flat[spread(self.begin[code], count)], ends[:-1])
+        return [None if bad else ids for ids, bad in zip(parts, np.diff(wrong) > 0, strict=True)]
+
+
+@lru_cache(maxsize=2)
+def pieces(path: str) -> Pieces:
+    """One model per Python worker."""
+    return Pieces(path)
 
 
 ENCODED = "text_key string, copies long, a_ids binary, b_ids binary"
@@ -56,20 +109,14 @@ def encode_texts(texts: DataFrame, a_name: str = BYTE_LEVEL, b_name: str = PIECE
     A text whose tokens, joined, are not a space and the text has no ids.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, spelt = encoder(public(a_name), False), vocabulary(public(a_name)).tokens
-        model, tokens, _ = pieces(public(b_name))
+        own, other = encoder(public(a_name), False), pieces(public(b_name))
         for batch in batches:
             texts = batch.column("text").to_pylist()
             for first, last in chunks([len(t) for t in texts]):
                 part = texts[first:last]
-                a_all = own.encode([" " + t for t in part])
-                rows = []
-                for text, a in zip(part, a_all, strict=True):
-                    b, whole = model.encode(text), b" " + text.encode()
-                    if b"".join(map(tokens.__getitem__, b)) == whole and b"".join(map(spelt.__getitem__, a.tolist())) == whole:
-                        rows.append((a.astype("<u4").tobytes(), np.array(b, "<u4").tobytes()))
-                    else:
-                        rows.append((b"", b""))
+                # A has a token for every byte, so it spells any text
+                rows = [(b"", b"") if b is None else (a.astype("<u4").tobytes(), b.astype("<u4").tobytes())
+                        for a, b in zip(own.encode([" " + t for t in part]), other.encode(part), strict=True)]
                 a_ids, b_ids = (pa.array(c, pa.binary()) for c in zip(*rows, strict=True))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("text_key")[first:last], batch.column("copies")[first:last], a_ids, b_ids],
@@ -107,8 +154,12 @@ class Alignment:
 
     def groups(self) -> list[bytes]:
         """``a1,a2|b1;a3|b2,b3`` of each text: the ids between one common end and the next."""
-        a_group = np.searchsorted(self.a_linked, np.arange(len(self.a)))
-        b_group = np.searchsorted(self.b_linked, np.arange(len(self.b)))
+        def group(linked: np.ndarray, n: int) -> np.ndarray:
+            ends = np.zeros(n, np.int64)
+            ends[linked] = 1
+            return np.cumsum(ends) - ends
+
+        a_group, b_group = group(self.a_linked, len(self.a)), group(self.b_linked, len(self.b))
         # A's ids of a group come after all ids of earlier groups, B's after A's of the same group
         a_place = np.arange(len(self.a)) + np.concatenate([[0], self.b_linked + 1])[a_group]
         b_place = np.arange(len(self.b)) + (self.a_linked + 1)[b_group]
@@ -116,14 +167,19 @@ class Alignment:
         ids[a_place], ids[b_place] = 3 * self.a, 3 * self.b          # 0: a comma follows
         ids[a_place[self.a_linked]] += 1                              # 1: a bar
         ids[b_place[self.b_linked]] += 2                              # 2: a semicolon
-        texts = list(map(spelling, ids.tolist()))
+        texts = list(map(spellings(3 * (1 + int(ids.max(initial=0)) // 3)).__getitem__, ids.tolist()))
         ends = np.cumsum(self.n_a + self.n_b).tolist()
         return [b"".join(texts[i:j])[:-1] for i, j in zip([0, *ends], ends, strict=False)]
 
 
-@lru_cache(maxsize=1 << 18)
-def spelling(code: int) -> bytes:
-    return b"%d%c" % (code // 3, b",|;"[code % 3])
+@lru_cache(maxsize=1)
+def all_spellings(n: int) -> list[bytes]:
+    return [b"%d%c" % (i // 3, b",|;"[i % 3]) for i in range(n)]
+
+
+def spellings(n: int) -> list[bytes]:
+    """Every id with every sign behind it, for codes below n; rounded up, so that one list serves all."""
+    return all_spellings(1 << max(n - 1, 1).bit_length())
 
 
 def batch_parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -140,7 +196,7 @@ def count_pairs(encoded: DataFrame, a_name: str = BYTE_LEVEL, b_name: str = PIEC
     Every task adds up its own texts first, so it passes on each pair once.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a_sizes, b_sizes = vocabulary(public(a_name)).size, pieces(public(b_name))[2]
+        a_sizes, b_sizes = vocabulary(public(a_name)).size, pieces(public(b_name)).size
         pairs, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
         for batch in batches:
             for part in batch_parts(batch):
@@ -182,7 +238,7 @@ def measure_texts(encoded: DataFrame, pairs: DataFrame, a_name: str = BYTE_LEVEL
     known = encoded.sparkSession.sparkContext.broadcast((keys, counts, counts == highest[keys & 0xFFFFFFFF]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a_sizes, b_sizes = vocabulary(public(a_name)).size, pieces(public(b_name))[2]
+        a_sizes, b_sizes = vocabulary(public(a_name)).size, pieces(public(b_name)).size
         keys, counts, best = known.value
         for batch in batches:
             for part in batch_parts(batch):

@@ -26,8 +26,9 @@ UNITS_KEPT = 300_000      # units whose ids a worker remembers; only speed depen
 CHUNK_CHARS = 1 << 20     # text handled at once, unless a single text is longer
 NONE = np.iinfo(np.int32).max
 
-# A space between two other characters always begins a new word, so words can be told apart there.
-LOOSE_SPACE = re.compile(r"(?:^|\s) | (?:\s|$)")
+# A space that follows and is followed by something else always begins a new word, so words can be told
+# apart there. This finds other spaces.
+LOOSE_SPACE = re.compile(r"\s | (?:\s|$)")
 # Up to here every Unicode version sorts characters alike (tested one by one).
 LATER_CHARACTER = re.compile(r"[^\x00-ɏ]")
 # Fixed value: the pattern of the public vocabulary that splits text before its merges.
@@ -165,7 +166,7 @@ class Encoder:
     def plain_units(self, text: str) -> list[str]:
         if LOOSE_SPACE.search(text) or "\0" in text:
             return self.vocabulary.words(text)
-        return text.replace(" ", "\0 ").split("\0") if text else []
+        return text.replace(" ", "\0 ").split("\0")[text.startswith(" "):] if text else []
 
     def units(self, text: str) -> list[str]:
         """Parts of a text that are encoded each by itself: what stands between single spaces, else words."""

@@ -3,6 +3,8 @@ from collections import Counter
 
 import public_tokenizers
 import sentencepiece
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from skytally.llm import alignment
@@ -85,6 +87,35 @@ def test_edges(spark, documents):
     assert found(alignment.align_documents(documents((1, None), (2, "")))) == [(1, *[0] * 6, ""), (2, *[0] * 6, "")]
 
 
+@settings(max_examples=400, deadline=None)
+@given(st.text(st.sampled_from("ab  \n\t▁é—漢'<0x>.\0 \u3000\u00adﬁ\u0301"), min_size=1, max_size=40))
+def test_units_are_encoded_as_in_the_whole_text(text):
+    model = alignment.pieces(alignment.public(alignment.PIECES))
+    assert model.apart
+    ids = B.encode(text)
+    spelt = b"".join(model.tokens[i] for i in ids) == (" " + text).encode()
+    got = model.encode([text])[0]
+    assert (got is not None and got.tolist() == ids) if spelt else got is None
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(st.characters(exclude_categories=["Cs"]), min_size=1, max_size=30))
+def test_any_characters(text):
+    model = alignment.pieces(alignment.public(alignment.PIECES))
+    ids, got = B.encode(text), model.encode([text])[0]
+    spelt = b"".join(model.tokens[i] for i in ids) == (" " + text).encode()
+    assert (got is not None and got.tolist() == ids) if spelt else got is None
+    a = alignment.encoder(alignment.public(alignment.BYTE_LEVEL), False).encode([" " + text])[0].tolist()
+    assert a == A.encode(" " + text, add_special_tokens=False).ids
+
+
+def test_units_forgotten(monkeypatch):
+    monkeypatch.setattr(alignment, "UNITS_KEPT", 2)
+    model = alignment.Pieces(alignment.public(alignment.PIECES))
+    for text in ("one two three four", "two one", "one  two  ", " ", "  "):
+        assert [x.tolist() for x in model.encode([text, text])] == [B.encode(text)] * 2
+
+
 def test_common_and_rare_texts_go_to_the_same_result(spark, documents, monkeypatch):
     rows = [(i, "a common text") for i in range(40)] + [(100 + i, f"rare text {i % 7}") for i in range(20)] + [(200, None)]
     for share in (1, 2, 10, 1000):
@@ -105,5 +136,5 @@ def test_pairs_are_bounded_by_the_vocabularies(spark, texts):
     df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
     tokens = alignment.vocabulary(alignment.public(alignment.BYTE_LEVEL)).tokens
     for r in alignment.count_pairs(alignment.encode_texts(alignment.distinct_texts(df))).collect():
-        a, b = tokens[r.a_id], alignment.pieces(alignment.public(alignment.PIECES))[1][r.b_id]
+        a, b = tokens[r.a_id], alignment.pieces(alignment.public(alignment.PIECES)).tokens[r.b_id]
         assert a.endswith(b) or b.endswith(a)
