@@ -85,7 +85,7 @@ def merge_batch(spark: SparkSession, lake: Lake, batch: DataFrame, buckets: int
     path, seen = f"{lake.state}/{target}", Observation()
     rows = merged(read_state(spark, lake), batch, buckets).observe(seen, F.count(F.lit(1)).alias("row_count"))
     rows.write.format("parquet").bucketBy(buckets, KEY).sortBy(KEY).option("path", path).saveAsTable(_table_name(path))
-    move_pointer(spark, lake.state, target, noted(seen).get("row_count") or 0)
+    move_pointer(spark, lake.state, pointer, target, noted(seen).get("row_count") or 0)
     if pointer is not None:  # the entry goes, the old version's files stay
         spark.sql(f"DROP TABLE IF EXISTS {_table_name(f'{lake.state}/{pointer.target}')}")
     return _registered(spark, path, buckets)

@@ -11,7 +11,6 @@ from datetime import datetime, timezone
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
-from pyspark.sql import functions as F
 
 from skytally.functions import as_utc
 
@@ -51,17 +50,18 @@ def write_document(spark: SparkSession, schema: str, path: str, mode: str, **val
 
 def read_pointer(spark: SparkSession, path: str) -> Row | None:
     """The pointer of a table: its last complete move; None before the first."""
-    return (read_documents(spark, POINTER, f"{path}/_pointer/slot=*")
-            .where("sequence is not null").orderBy(F.desc("sequence")).first())
+    slots = read_documents(spark, POINTER, f"{path}/_pointer/slot=*").where("sequence is not null").collect()  # two at most
+    return max(slots, key=lambda slot: slot.sequence, default=None)
 
 
-def move_pointer(spark: SparkSession, path: str, target: str, row_count: int, at: datetime | None = None) -> None:
-    """Point a table at a folder below it.
+def move_pointer(
+    spark: SparkSession, path: str, last: Row | None, target: str, row_count: int, at: datetime | None = None,
+) -> None:
+    """Point a table, whose ``last`` pointer has been read, at a folder below it.
 
     There are two slots, written in turn. Only the older one is replaced, so a move that is lost
     half-way leaves the pointer where it was, and reading takes two files however often it moved.
     """
-    last = read_pointer(spark, path)
     sequence = 0 if last is None else last.sequence + 1
     write_document(spark, POINTER, f"{path}/_pointer/slot={sequence % 2}", "overwrite",
                    sequence=sequence, target=target, row_count=row_count, at_micros=micros(at or datetime.now(timezone.utc)))

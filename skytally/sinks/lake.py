@@ -77,7 +77,8 @@ def write_dimension(dimension: DataFrame, path: str) -> None:
     """
     target, seen = f"version={uuid.uuid4().hex}", Observation()
     dimension.observe(seen, F.count(F.lit(1)).alias("row_count")).write.parquet(f"{path}/{target}")
-    move_pointer(dimension.sparkSession, path, target, noted(seen).get("row_count") or 0)
+    spark = dimension.sparkSession
+    move_pointer(spark, path, read_pointer(spark, path), target, noted(seen).get("row_count") or 0)
 
 
 def write_gold(kpi: DataFrame, lake: Lake, name: str, run_ts: datetime) -> str:
@@ -93,7 +94,7 @@ def write_gold(kpi: DataFrame, lake: Lake, name: str, run_ts: datetime) -> str:
     last = read_pointer(spark, table)
     if last is None or last.at_micros <= micros(run_ts) or last.target == hour:
         if rows:
-            move_pointer(spark, table, hour, rows, run_ts)
+            move_pointer(spark, table, last, hour, rows, run_ts)
         elif last is not None and last.target == hour:
-            move_pointer(spark, table, "", 0, run_ts)
+            move_pointer(spark, table, last, "", 0, run_ts)
     return f"{table}/{hour}"

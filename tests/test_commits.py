@@ -116,7 +116,7 @@ def test_pointer_keeps_two_slots_and_survives_a_lost_move(spark, lake, tmp_path)
     path = lake.dimension("dim_x")
     assert publish.read_pointer(spark, path) is None
     for n in range(5):
-        publish.move_pointer(spark, path, f"version={n}", n)
+        publish.move_pointer(spark, path, publish.read_pointer(spark, path), f"version={n}", n)
     assert (publish.read_pointer(spark, path).target, publish.read_pointer(spark, path).sequence) == ("version=4", 4)
     assert sorted(os.listdir(f"{path}/_pointer")) == ["slot=0", "slot=1"]
     shutil.rmtree(f"{path}/_pointer/slot=1")  # the next move has deleted its slot and then died
