@@ -16,12 +16,12 @@ from skytally.sources.reference_files import (
 )
 from skytally.sources.runs import read_run_metrics
 
-AIRPORTS = """1,"Kennedy","New York","United States","JFK","KJFK",40.63,-73.77,13,-5,"A","Z","airport","O"
-2,"De Gaulle","Paris","France","CDG","LFPG",49.01,2.55,392,1,"E","Z","airport","O"
-3,"Los Angeles","Los Angeles","United States","LAX","KLAX",33.94,-118.4,125,-8,"A","Z","airport","O"
+AIRPORTS = """1,"Gardermoen","Oslo","Norway","OSL","ENGM",60.19,11.1,681,1,"E","Z","airport","O"
+2,"Tacoma","Seattle","United States","SEA","KSEA",47.45,-122.31,433,-8,"A","Z","airport","O"
+3,"Denver","Denver","United States","DEN","KDEN",39.86,-104.67,5431,-7,"A","Z","airport","O"
 """
-AIRLINES = [{"Name": "Delta", "ICAO": "DAL", "IATA": "DL", "n_aircrafts": 900},
-            {"Name": "Air France", "ICAO": "AFR", "IATA": "AF", "n_aircrafts": 200}]
+AIRLINES = [{"Name": "Alaska", "ICAO": "ASA", "IATA": "AS", "n_aircrafts": 310},
+            {"Name": "Finnair", "ICAO": "FIN", "IATA": "AY", "n_aircrafts": 80}]
 
 
 def position(flight_id, airline, aircraft, origin, destination, **more):
@@ -52,26 +52,26 @@ def test_landed_files_to_kpis(spark, tmp_path):
                 read_airline_records(spark, str(tmp_path / "airlines.json")), now), now)
         return airports, airlines
 
-    land(tmp_path / "first", "europe", position("A", "AFR", "A320", "CDG", "JFK"),
-         position("B", "dal ", "b738", "JFK", "LAX"))
-    land(tmp_path / "first", "northamerica", position("B", "dal ", "b738", "JFK", "LAX"),
-         position("C", "DAL", "B739", "LAX", "JFK"), position("D", "DAL", "B739", "LAX", ""))
+    land(tmp_path / "first", "europe", position("A", "FIN", "A320", "OSL", "SEA"),
+         position("B", "asa ", "b738", "SEA", "DEN"))
+    land(tmp_path / "first", "northamerica", position("B", "asa ", "b738", "SEA", "DEN"),
+         position("C", "ASA", "B739", "DEN", "SEA"), position("D", "ASA", "B739", "DEN", ""))
     flights = collect_zones(spark, str(tmp_path / "first"), ["europe", "northamerica", "asia"], now, "r1")
     assert run_batch(flights, lake, now, "r1", *dimensions())
     assert read_bronze(spark, lake).count() == 4
     volume = read_latest(spark, lake, "kpi_airline_volumes").first()
-    assert (volume.airline_icao, volume.airline_name, volume.active_flights_count) == ("DAL", "Delta", 2)
+    assert (volume.airline_icao, volume.airline_name, volume.active_flights_count) == ("ASA", "Alaska", 2)
     longest = read_latest(spark, lake, "kpi_longest_flight").first()
-    assert (longest.callsign, round(longest.distance_km, -2)) == ("A", 5800)
+    assert (longest.callsign, round(longest.distance_km, -2)) == ("A", 7300)
     top3 = read_latest(spark, lake, "kpi_airline_aircraft_top3")
     assert [r.aircraft_code for r in top3_for_country(top3).collect()] == ["B738", "B739"]
     assert read_snapshot(spark, lake.dimension("dim_airports")).count() == 3  # bulk, not derived
 
     later = now + timedelta(hours=2)
-    land(tmp_path / "second", "europe", position("A", "AFR", "A321", "CDG", "LAX"))
+    land(tmp_path / "second", "europe", position("A", "FIN", "A321", "OSL", "DEN"))
     flights = collect_zones(spark, str(tmp_path / "second"), ["europe"], later, "r2")
     assert run_batch(flights, lake, later, "r2", *dimensions())
-    assert read_latest(spark, lake, "kpi_airline_volumes").first().airline_icao == "AFR"
+    assert read_latest(spark, lake, "kpi_airline_volumes").first().airline_icao == "FIN"
 
     history = run_plans.run_history(read_run_metrics(spark, lake.run_metrics)).collect()
     assert [(r.batch_id, r.flights, r.pct_valid, r.status) for r in history] == [
@@ -80,4 +80,4 @@ def test_landed_files_to_kpis(spark, tmp_path):
     loaded = replay(spark, lake, later + timedelta(hours=2), *dimensions())
     assert {r.flight_id: r.aircraft_code for r in loaded.silver.collect()} == {
         "A": "A321", "B": "B738", "C": "B739", "D": "B739"}
-    assert read_latest(spark, lake, "kpi_airline_volumes").first().airline_icao == "DAL"
+    assert read_latest(spark, lake, "kpi_airline_volumes").first().airline_icao == "ASA"

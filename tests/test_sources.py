@@ -20,8 +20,8 @@ BOXES = {"europe": Box.parse("72,33,-16,53"), "north": Box(90, 45, -180, 180), "
 
 def test_feed_conversion(spark, tmp_path, run_ts):
     lines = [
-        {"id": "A1", "callsign": "C", "number": "N1", "origin_airport_iata": "CDG",
-         "destination_airport_iata": "JFK", "latitude": 48, "longitude": "2.5", "altitude": "N/A",
+        {"id": "A1", "callsign": "C", "number": "N1", "origin_airport_iata": "OSL",
+         "destination_airport_iata": "SEA", "latitude": 48, "longitude": "2.5", "altitude": "N/A",
          "ground_speed": "", "heading": "x", "on_ground": 0, "vertical_speed": 12.5},
         {"id": "A2", "on_ground": "1.0"},
         {"callsign": "no id"},
@@ -34,7 +34,7 @@ def test_feed_conversion(spark, tmp_path, run_ts):
     assert [f.dataType for f in df.schema] == [f.dataType for f in FLIGHTS_RAW]
     one, two = df.orderBy("flight_id").collect()
     assert (one.flight_id, one.flight_number, one.origin_iata, one.destination_iata) == \
-        ("A1", "N1", "CDG", "JFK")
+        ("A1", "N1", "OSL", "SEA")
     assert (one.latitude, one.longitude, one.altitude, one.ground_speed, one.heading, one.on_ground,
             one.vertical_speed) == (48.0, 2.5, None, None, None, 0, 12.5)
     assert (one.batch_id, one.source_zone, one.airline_name) == ("b7", "global", None)
@@ -53,9 +53,9 @@ def test_empty_feed_has_the_schema(spark):
 def test_zone_filter(observations):
     feed = observations({"flight_id": "in"}, {"flight_id": "out", "latitude": -20.0},
                         {"flight_id": "lost", "latitude": None},
-                        {"flight_id": "afr", "airline_icao": "AFR"})
-    assert {r.flight_id for r in filter_feed(feed, BOXES, "europe").collect()} == {"in", "afr"}
-    assert {r.flight_id for r in filter_feed(feed, BOXES, "europe", "AFR", "AT76").collect()} == {"afr"}
+                        {"flight_id": "fin", "airline_icao": "FIN"})
+    assert {r.flight_id for r in filter_feed(feed, BOXES, "europe").collect()} == {"in", "fin"}
+    assert {r.flight_id for r in filter_feed(feed, BOXES, "europe", "FIN", "AT76").collect()} == {"fin"}
     assert filter_feed(feed, BOXES, "atlantis").count() == 0
     assert filter_feed(feed, BOXES).count() == filter_feed(feed, BOXES, "global").count() == 4
 
@@ -109,9 +109,9 @@ def test_subzones(spark):
     assert [tuple(r) for r in subzones(zones).collect()] == [("europe", 2, "poland,uk")]
 
 
-CSV = r"""1,"Kennedy ""JFK"", main","New York","United States","JFK","KJFK",40.63,-73.77,13,-5,"A","America/New_York","airport","OurAirports"
+CSV = r"""1,"Tacoma ""SEA"", main","Seattle","United States","SEA","KSEA",47.45,-122.31,433,-8,"A","America/Los_Angeles","airport","OurAirports"
 2,"No code","X","France",\N,"LFXX",1,2,3,4,"E","Z","airport","O"
-3,"De Gaulle","Paris","France"," CDG ",\N,49.01,\N,392,1,"E","Europe/Paris","airport","OurAirports"
+3,"Gardermoen","Oslo","Norway"," OSL ",\N,60.19,\N,681,1,"E","Europe/Oslo","airport","OurAirports"
 4,"Short","X","France","SHO","LFSH",1.5
 5,"Eight","X","France","EIG","LFEI",1.5,2.5
 6,"Two","X","France","TW","LFTW",1.5,2.5,3,4,"E","Z","airport","O"
@@ -124,46 +124,46 @@ def test_airports_csv(spark, tmp_path, run_ts):
     path.write_text(CSV)
     rows = {r.airport_iata: tuple(r)[1:] for r in refs.read_airports_csv(spark, str(path)).collect()}
     assert rows == {
-        "JFK": ("KJFK", 'Kennedy "JFK", main', "United States", 40.63, -73.77),
-        "CDG": (None, "De Gaulle", "France", 49.01, None),
+        "SEA": ("KSEA", 'Tacoma "SEA", main', "United States", 47.45, -122.31),
+        "OSL": (None, "Gardermoen", "Norway", 60.19, None),
         "EIG": ("LFEI", "Eight", "France", 1.5, 2.5),
         "NAM": (None, "\\N", "", None, 2.5),
     }
     dim = refs.airports_dimension(refs.read_airports_csv(spark, str(path)), run_ts)
     codes = {r.airport_iata: (r.country_code, r.continent_code) for r in dim.collect()}
-    assert codes == {"JFK": ("US", "NA"), "CDG": ("FR", "EU"), "EIG": ("FR", "EU"),
+    assert codes == {"SEA": ("US", "NA"), "OSL": ("NO", "EU"), "EIG": ("FR", "EU"),
                      "NAM": (None, "UNKNOWN")}
 
 
 def test_airport_records_and_countries(spark, tmp_path):
-    records = [{"iata": "CDG", "country": "France", "latitude": "x", "longitude": 2.5},
+    records = [{"iata": "OSL", "country": "Norway", "latitude": "x", "longitude": 2.5},
                {"iata": "", "country": "France"}, {"iata": None, "country": "France"},
-               {"iata": "JFK", "country": "united-states"}, {"iata": "XXA", "country": "Atlantis"},
+               {"iata": "SEA", "country": "united-states"}, {"iata": "XXA", "country": "Atlantis"},
                {"iata": "NUL"}]
     (tmp_path / "a.json").write_text("\n".join(map(json.dumps, records)))
     airports = refs.airports_of_records(refs.read_airport_records(spark, str(tmp_path)))
     assert {r.airport_iata: (r.latitude, r.longitude) for r in airports.collect()} == {
-        "CDG": (None, 2.5), "JFK": (None, None), "XXA": (None, None), "NUL": (None, None)}
+        "OSL": (None, 2.5), "SEA": (None, None), "XXA": (None, None), "NUL": (None, None)}
 
     def kept(spec):
         return {r.airport_iata for r in refs.filter_countries(airports, spec).collect()}
-    assert kept("UNITED_STATES, NEVERLAND") == {"JFK"}
-    assert kept(" all ") == kept("NEVERLAND") == kept("") == {"CDG", "JFK", "XXA", "NUL"}
+    assert kept("UNITED_STATES, NEVERLAND") == {"SEA"}
+    assert kept(" all ") == kept("NEVERLAND") == kept("") == {"OSL", "SEA", "XXA", "NUL"}
     assert [tuple(r) for r in airports_per_country(airports).collect()] == [
-        ("Atlantis", 1), ("France", 1), ("united-states", 1)]
+        ("Atlantis", 1), ("Norway", 1), ("united-states", 1)]
 
 
 def test_airline_records(spark, tmp_path, run_ts):
-    records = [{"Name": "Delta", "ICAO": "DAL", "IATA": "DL", "n_aircrafts": 900},
-               {"Name": "Delta Two", "ICAO": "DAL", "n_aircrafts": 1},
-               {"Name": "Air France", "ICAO": "AFR", "IATA": "AF", "n_aircrafts": 200},
+    records = [{"Name": "Alaska", "ICAO": "ASA", "IATA": "AS", "n_aircrafts": 310},
+               {"Name": "Alaska Two", "ICAO": "ASA", "n_aircrafts": 1},
+               {"Name": "Finnair", "ICAO": "FIN", "IATA": "AY", "n_aircrafts": 80},
                {"Name": "None", "ICAO": None, "n_aircrafts": 5}, {"Name": "Empty", "ICAO": ""}]
     (tmp_path / "a.json").write_text("\n".join(map(json.dumps, records)))
     landed = refs.read_airline_records(spark, str(tmp_path))
     dim = refs.airlines_dimension(landed, run_ts)
     assert sorted(tuple(r)[:3] for r in dim.collect()) == [
-        ("AFR", "AF", "Air France"), ("DAL", "DL", "Delta")]
-    assert [r.Name for r in top_airlines_by_fleet(landed, 2).collect()] == ["Delta", "Air France"]
+        ("ASA", "AS", "Alaska"), ("FIN", "AY", "Finnair")]
+    assert [r.Name for r in top_airlines_by_fleet(landed, 2).collect()] == ["Alaska", "Finnair"]
 
 
 def test_freshness_and_refresh(spark, tmp_path, run_ts):
