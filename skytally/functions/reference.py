@@ -10,15 +10,34 @@ OTHER = "Other"
 
 # ISO 3166-1 alpha-2 country codes of each continent.
 CONTINENT_COUNTRIES = {
-    "EU": "AL AD AT BY BE BA BG HR CY CZ DK EE FI FR DE GR HU IS IE IT LV LI LT LU MT MD MC ME "
-          "NL MK NO PL PT RO RU SM RS SK SI ES SE CH UA GB VA",
-    "NA": "CA US MX GT BZ SV HN NI CR PA CU DO HT JM BS TT PR",
-    "SA": "AR BO BR CL CO EC GY PY PE SR UY VE",
-    "AS": "AF AM AZ BH BD BT BN KH CN GE IN ID IR IQ IL JP JO KZ KW KG LA LB MY MV MN MM NP KP "
-          "OM PK PH QA SA SG KR LK SY TW TJ TH TR TM AE UZ VN YE HK MO",
-    "AF": "DZ AO BJ BW BF BI CM CV CF TD KM CG CD CI DJ EG GQ ER ET GA GM GH GN KE LS LR LY MG "
-          "MW ML MR MU MA MZ NA NE NG RW SN SC SL SO ZA SS SD TZ TG TN UG ZM ZW",
-    "OC": "AU FJ KI NZ PG WS SB TO VU NC PF",
+    "EU": [
+        "AL", "AD", "AT", "BY", "BE", "BA", "BG", "HR", "CY", "CZ", "DK", "EE", "FI", "FR",
+        "DE", "GR", "HU", "IS", "IE", "IT", "LV", "LI", "LT", "LU", "MT", "MD", "MC", "ME",
+        "NL", "MK", "NO", "PL", "PT", "RO", "RU", "SM", "RS", "SK", "SI", "ES", "SE", "CH",
+        "UA", "GB", "VA",
+    ],
+    "NA": [
+        "CA", "US", "MX", "GT", "BZ", "SV", "HN", "NI", "CR", "PA", "CU", "DO", "HT", "JM",
+        "BS", "TT", "PR",
+    ],
+    "SA": [
+        "AR", "BO", "BR", "CL", "CO", "EC", "GY", "PY", "PE", "SR", "UY", "VE",
+    ],
+    "AS": [
+        "AF", "AM", "AZ", "BH", "BD", "BT", "BN", "KH", "CN", "GE", "IN", "ID", "IR", "IQ",
+        "IL", "JP", "JO", "KZ", "KW", "KG", "LA", "LB", "MY", "MV", "MN", "MM", "NP", "KP",
+        "OM", "PK", "PH", "QA", "SA", "SG", "KR", "LK", "SY", "TW", "TJ", "TH", "TR", "TM",
+        "AE", "UZ", "VN", "YE", "HK", "MO",
+    ],
+    "AF": [
+        "DZ", "AO", "BJ", "BW", "BF", "BI", "CM", "CV", "CF", "TD", "KM", "CG", "CD", "CI",
+        "DJ", "EG", "GQ", "ER", "ET", "GA", "GM", "GH", "GN", "KE", "LS", "LR", "LY", "MG",
+        "MW", "ML", "MR", "MU", "MA", "MZ", "NA", "NE", "NG", "RW", "SN", "SC", "SL", "SO",
+        "ZA", "SS", "SD", "TZ", "TG", "TN", "UG", "ZM", "ZW",
+    ],
+    "OC": [
+        "AU", "FJ", "KI", "NZ", "PG", "WS", "SB", "TO", "VU", "NC", "PF",
+    ],
 }
 
 # Display name of each continent code.
@@ -224,7 +243,7 @@ MANUFACTURER_PREFIXES = {
 }
 
 CONTINENT_OF_COUNTRY = {
-    code: continent for continent, codes in CONTINENT_COUNTRIES.items() for code in codes.split()
+    code: continent for continent, codes in CONTINENT_COUNTRIES.items() for code in codes
 }
 
 
@@ -257,7 +276,7 @@ def continent_code(country_code: Column) -> Column:
     code = F.upper(country_code)
     found = F.lit(None).cast("string")
     for continent, codes in reversed(CONTINENT_COUNTRIES.items()):
-        found = F.when(code.isin(codes.split()), continent).otherwise(found)
+        found = F.when(code.isin(codes), continent).otherwise(found)
     return F.coalesce(found, F.lit(UNKNOWN))
 
 
