@@ -70,9 +70,9 @@ LABELLERS = (
 ONE_SIDED = "line_kinds"
 
 
-def votes(text: bytes) -> list[int]:
-    """A vote of each labeller; none votes on a text without words."""
-    m = measures(text)
+def votes(text: bytes, m: dict[str, float] | None = None) -> list[int]:
+    """A vote of each labeller, by the text's measures; none votes on a text without words."""
+    m = m or measures(text)
     return [rule(m) if m["words"] else ABSTAIN for _, rule in LABELLERS]
 
 
@@ -91,14 +91,14 @@ def word_features(word: bytes) -> tuple[int, int, int]:
     return (zlib.crc32(word) % N_FEATURES, zlib.crc32(b"end " + word[-3:]) % N_FEATURES, zlib.crc32(b"shape " + shape(word)) % N_FEATURES)
 
 
-def hashed(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+def hashed(text: bytes, m: dict[str, float] | None = None) -> tuple[np.ndarray, np.ndarray]:
     """(features, values) of a text: the words of the whole text with their ends and shapes, and its measures in steps.
 
     Words' features have a squared sum of one together, each measure one of its own, so that
     neither long texts nor the many words weigh down the rest.
     """
     of_words = np.fromiter({i for w in set(text.split()) for i in word_features(w)}, np.int64)
-    m = measures(text)
+    m = m or measures(text)
     names = [f"{k}:{int(np.log2(v + 1)) if k == 'words' else int(v * 20) if v < 1 else 20 + int(min(v, 64))}" for k, v in m.items()]
     of_text = np.array([zlib.crc32(x.encode()) % N_FEATURES for x in names], np.int64)
     return (np.concatenate([np.sort(of_words), of_text]),
@@ -184,9 +184,10 @@ def score_quality(documents: DataFrame, model) -> DataFrame:
 
     def score(batch: pa.RecordBatch) -> dict:
         texts = as_bytes(batch.column("text"))
-        given = [votes(t) for t in texts]
-        s = sigmoid(np.array([b + float(w[features] @ values) for features, values in map(hashed, texts)], float))
-        s[[not t.split() for t in texts]] = 0.0
+        seen = [measures(t) for t in texts]
+        given = [votes(t, m) for t, m in zip(texts, seen, strict=True)]
+        s = sigmoid(np.array([b + float(w[features] @ values) for features, values in map(hashed, texts, seen)], float))
+        s[[not m["words"] for m in seen]] = 0.0
         return {"doc_id": batch.column("doc_id").cast(pa.int64()),
                 "n_votes": [sum(v != ABSTAIN for v in g) for g in given],
                 "posterior": [posterior.get("".join(map(str, g)), 0.5) for g in given],
