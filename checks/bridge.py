@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from skytally.functions import continent_code, country_code_of_name
+from skytally.operators.enrich import broadcast_if_small
 from skytally.operators.pick import latest_per_flight
 from skytally.operators.quality import flag_quality
 from skytally.operators.zones import Box
@@ -143,6 +144,9 @@ def feed(
 
     ``latest`` keeps the last observation of each flight, before any attribute is joined: the
     joins then see a fraction of the rows, and the one with the orders is already co-located.
+
+    Attribute tables are broadcast up to a checked size, so that their joins do not shuffle every
+    observation once more.
     """
     known = _feed_columns()
     types = {f.name: f.dataType for f in FLIGHTS_RAW}
@@ -154,16 +158,17 @@ def feed(
             rows, "l_orderkey", "l_shipdate", ("l_linenumber", "l_partkey", "l_suppkey"))
     if "orders" in joins:
         # customers join the orders first: an order has several observations
+        customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
         routes = table(spark, sf_dir, "orders").join(
-            table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"), "left",
+            broadcast_if_small(customers), F.col("o_custkey") == F.col("c_custkey"), "left",
         ).select("o_orderkey", "c_nationkey")
         rows = rows.join(routes, F.col("l_orderkey") == F.col("o_orderkey"), "left")
     if "part" in joins:
         brands = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
-        rows = rows.join(brands, F.col("l_partkey") == F.col("p_partkey"), "left")
+        rows = rows.join(broadcast_if_small(brands), F.col("l_partkey") == F.col("p_partkey"), "left")
     if "supplier" in joins:
         homes = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-        rows = rows.join(homes, F.col("l_suppkey") == F.col("s_suppkey"), "left")
+        rows = rows.join(broadcast_if_small(homes), F.col("l_suppkey") == F.col("s_suppkey"), "left")
     if "region" in joins:
         regions = table(spark, sf_dir, "nation").join(
             table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"),

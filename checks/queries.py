@@ -680,15 +680,15 @@ def prune_partition(spark, sf_dir):
 def replay_bronze(spark, sf_dir):
     """Two batches with the same flights: the later, at 100 ft more, wins everywhere."""
     lake = new_lake(spark)
-    first = bridge.bronze(spark, sf_dir).drop(*TIE_BREAK)
-    write_bronze(first, lake, many_hours=True)
+    write_bronze(bridge.bronze(spark, sf_dir).drop(*TIE_BREAK), lake, many_hours=True)
+    first = read_bronze(spark, lake)
     write_bronze(first.withColumns({
         "extraction_timestamp": F.col("extraction_timestamp") + F.expr("INTERVAL 10 YEARS"),
         "altitude": F.col("altitude") + 100,
         "batch_id": F.lit("B2"),
-    }), lake, many_hours=True)
+    }), lake, many_hours=True, gathered=True)
     facts = silver_fact(read_bronze(spark, lake), bridge.airports_dim(spark),
-                        bridge.airlines_dim(spark))
+                        bridge.airlines_dim(spark), stored=True)
     return facts.select("flight_id", "extraction_timestamp", "batch_id", "altitude", "is_valid")
 
 

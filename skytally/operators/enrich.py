@@ -25,6 +25,11 @@ def planned_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
+    """Mark a join side for broadcast up to a checked size, whatever the session's threshold is."""
+    return F.broadcast(df) if planned_bytes(df) <= limit else df
+
+
 def _fill_left(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
                fill: dict[str, str], broadcast_limit: int) -> DataFrame:
     """Left join on the dimension key, filling fact columns only where they are NULL.

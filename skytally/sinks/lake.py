@@ -20,15 +20,17 @@ def label_hours(df: DataFrame, at: Column | datetime) -> DataFrame:
 
 
 def _write_hours(
-    df: DataFrame, path: str, mode: str, many_hours: bool, *more: str, sort: str | None = None, **options: str,
+    df: DataFrame, path: str, mode: str, many_hours: bool, *more: str, sort: str | None = None,
+    gathered: bool = False, **options: str,
 ) -> None:
     """Write partitioned by hour, and by ``more`` columns below it; files are sorted by ``sort``.
 
     With one hour in the data each task already writes into one directory. With many hours a
     rebalance gathers each hour first, so that tasks do not scatter small files; AQE splits
-    an hour that outgrows the advisory partition size over several tasks.
+    an hour that outgrows the advisory partition size over several tasks. Rows that are
+    ``gathered`` already, read hour by hour from such a table, need no other shuffle.
     """
-    if many_hours:
+    if many_hours and not gathered:
         df = df.hint("rebalance", *LABEL_COLUMNS)
     if sort in df.columns:  # after the folders, by which the writer sorts anyway
         df = df.sortWithinPartitions(*LABEL_COLUMNS, *more, sort)
@@ -37,6 +39,7 @@ def _write_hours(
 
 def write_bronze(
     observations: DataFrame, lake: Lake, many_hours: bool = False, batch_id: str | None = None,
+    gathered: bool = False,
 ) -> None:
     """Append labelled observations: raw history, never de-duplicated.
 
@@ -45,6 +48,9 @@ def write_bronze(
     part of the history. Of several commits of one ``batch_id`` (the rows' own; retries at the
     same time) the first counts; calls without a batch all count. No rows, no commit.
 
+    ``gathered`` rows come hour by hour, as those read from Bronze do: many hours of them are
+    written without a shuffle, into as many files as they are read from, or a few more.
+
     Rows are sorted by flight within their file, which has a Bloom filter of the flights, so that
     looking for a flight skips the row groups that do not have it.
     """
@@ -52,7 +58,7 @@ def write_bronze(
     labelled = observations.observe(
         seen, F.count(F.lit(1)).alias("row_count"),
         F.collect_set(F.concat_ws("/", *LABEL_COLUMNS)).alias("hours"))  # an entry per hour
-    _write_hours(labelled.withColumn(ATTEMPT, F.lit(attempt)), lake.bronze, "append", many_hours, ATTEMPT, sort="flight_id", **{
+    _write_hours(labelled.withColumn(ATTEMPT, F.lit(attempt)), lake.bronze, "append", many_hours, ATTEMPT, sort="flight_id", gathered=gathered, **{
         "parquet.bloom.filter.enabled#flight_id": "true", "parquet.bloom.filter.adaptive.enabled": "true"})
     rows, hours = noted(seen).get("row_count") or 0, sorted(noted(seen).get("hours") or [])
     if not rows:
