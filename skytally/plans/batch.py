@@ -84,7 +84,7 @@ def load_silver_gold(
     out. It is scanned once, into a stored roll-up; all KPIs and dimensions come from that.
     """
     spark = bronze.sparkSession
-    silver = silver_fact(bronze, airports, airlines)
+    silver = silver_fact(bronze, airports, airlines, stored=True)
     schema = silver.schema
     if many_hours:
         seen = Observation()

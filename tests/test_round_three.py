@@ -94,3 +94,35 @@ def test_gathered_hours_are_written_as_they_lie(spark, tmp_path, observations, r
     assert rows_of(both.where("batch_id = 'b2'"), "flight_id", "extraction_timestamp", "tech_hour") == rows_of(
         both.where("batch_id = 'b1'"), "flight_id", "extraction_timestamp", "tech_hour")
     assert both.count() == 48
+
+
+@needs_data
+def test_large_parts_are_joined_before_the_orders(spark, monkeypatch, rows_of):
+    columns = ("flight_id", "aircraft_code", "destination_iata")
+    small = rows_of(bridge.feed(spark, SF, columns), *columns)
+    monkeypatch.setattr(bridge, "BROADCAST_LIMIT_BYTES", 0)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+        plan = bridge.feed(spark, SF, columns)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.index("o_orderkey#") < plan.index("p_partkey#")
+        assert rows_of(bridge.feed(spark, SF, columns), *columns) == small
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+@needs_data
+def test_a_load_thins_out_stored_bronze(spark, tmp_path, observations, monkeypatch):
+    """Silver of a replay looks at whole rows only where they are the newest of their flight."""
+    from skytally.plans import batch
+
+    seen = []
+    pick = batch.silver_fact
+    monkeypatch.setattr(batch, "silver_fact", lambda *a, **k: seen.append(pick(*a, **k)) or seen[-1])
+    lake = Lake(str(tmp_path))
+    rows = observations({"altitude": 1.0}, {"altitude": 2.0, "extraction_timestamp": RUN_TS + timedelta(hours=1)})
+    from skytally.operators.quality import flag_quality
+    write_bronze(label_hours(flag_quality(rows), F.col("extraction_timestamp")), lake, many_hours=True)
+    loaded = batch.replay(spark, lake, RUN_TS)
+    assert "bitmap_construct_agg" in plan_of(seen[0])
+    assert [r.altitude for r in loaded.silver.collect()] == [2.0]
