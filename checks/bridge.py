@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from skytally.functions import continent_code, country_code_of_name
-from skytally.operators.enrich import broadcast_if_small
+from skytally.operators.enrich import BROADCAST_LIMIT_BYTES, broadcast_if_small, planned_bytes
 from skytally.operators.pick import latest_per_flight
 from skytally.operators.quality import flag_quality
 from skytally.operators.zones import Box
@@ -146,7 +146,8 @@ def feed(
     joins then see a fraction of the rows, and the one with the orders is already co-located.
 
     Attribute tables are broadcast up to a checked size, so that their joins do not shuffle every
-    observation once more.
+    observation once more. Parts beyond that size are joined first: what the join with the orders
+    yields then stays in the order of the flights, by which Bronze files are sorted.
     """
     known = _feed_columns()
     types = {f.name: f.dataType for f in FLIGHTS_RAW}
@@ -156,6 +157,14 @@ def feed(
     if latest:
         rows = latest_per_flight(
             rows, "l_orderkey", "l_shipdate", ("l_linenumber", "l_partkey", "l_suppkey"))
+    brands = table(spark, sf_dir, "part").select("p_partkey", "p_brand") if "part" in joins else None
+
+    def with_brands(rows: DataFrame) -> DataFrame:
+        return rows.join(broadcast_if_small(brands), F.col("l_partkey") == F.col("p_partkey"), "left")
+
+    early = brands is not None and not latest and planned_bytes(brands) > BROADCAST_LIMIT_BYTES
+    if early:
+        rows = with_brands(rows)
     if "orders" in joins:
         # customers join the orders first: an order has several observations
         customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
@@ -163,9 +172,8 @@ def feed(
             broadcast_if_small(customers), F.col("o_custkey") == F.col("c_custkey"), "left",
         ).select("o_orderkey", "c_nationkey")
         rows = rows.join(routes, F.col("l_orderkey") == F.col("o_orderkey"), "left")
-    if "part" in joins:
-        brands = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
-        rows = rows.join(broadcast_if_small(brands), F.col("l_partkey") == F.col("p_partkey"), "left")
+    if brands is not None and not early:
+        rows = with_brands(rows)
     if "supplier" in joins:
         homes = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
         rows = rows.join(broadcast_if_small(homes), F.col("l_suppkey") == F.col("s_suppkey"), "left")
