@@ -226,6 +226,22 @@ def land(lines: DataFrame, purpose: str) -> str:
     return path
 
 
+# records of a landed feed file: a compressed file is read by one task
+FEED_FILE_RECORDS = 100_000
+
+
+def land_feed(spark: SparkSession, sf_dir: str) -> str:
+    """Land the feed as gzip files and return their path.
+
+    As plain text its records take seven times the room, more than anything else the ingest writes.
+    Several files per task keep the parsing spread over tasks, also where one task lands most records.
+    """
+    path = scratch_path(spark, "feed")
+    (landed_feed_lines(spark, sf_dir).write.option("maxRecordsPerFile", FEED_FILE_RECORDS)
+     .option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED").text(path))
+    return path
+
+
 # by part key modulo 11; beyond the list stands the observation's own value
 ON_GROUND_SPELLINGS = ("0", "0.0", "1.0", "1.7", "true", '"1"', '"1.0"', '"x"', '"N/A"', "null")
 

@@ -105,7 +105,7 @@ INGEST_COLUMNS = (
 
 @query
 def ingest_feed(spark, sf_dir):
-    landed = feeds.read_feed(spark, bridge.land(bridge.landed_feed_lines(spark, sf_dir), "feed"))
+    landed = feeds.read_feed(spark, bridge.land_feed(spark, sf_dir))
     return feeds.to_observations(landed, RUN_TS, "B1").select(*INGEST_COLUMNS)
 
 
@@ -113,7 +113,7 @@ def ingest_feed(spark, sf_dir):
 def ingest_rejects(spark, sf_dir):
     """What the ingest put into quarantine, with its reason."""
     lake = new_lake(spark)
-    landed = feeds.read_feed(spark, bridge.land(bridge.landed_feed_lines(spark, sf_dir), "feed"))
+    landed = feeds.read_feed(spark, bridge.land_feed(spark, sf_dir))
     feeds.stage_feed(landed, lake, RUN_TS, "B1")
     return feeds.read_quarantine(spark, lake).groupBy("reason").agg(F.count("*").alias("records"))
 
@@ -122,7 +122,7 @@ def ingest_rejects(spark, sf_dir):
 def ingest_staged(spark, sf_dir):
     """The observations of a feed that was parsed once, beside its quarantine."""
     lake = new_lake(spark)
-    landed = feeds.read_feed(spark, bridge.land(bridge.landed_feed_lines(spark, sf_dir), "feed"))
+    landed = feeds.read_feed(spark, bridge.land_feed(spark, sf_dir))
     return feeds.stage_feed(landed, lake, RUN_TS, "B1").observations.select(*INGEST_COLUMNS)
 
 
